@@ -1,0 +1,27 @@
+"""Separating the few keys that hold a large share of all rows."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 100_000
+MAX_HOT_KEYS = 100_000
+
+
+def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of keys too large for one task.
+
+    A key is hot above ``hot_rows`` rows and above 1/MAX_HOT_KEYS of the table.
+    At most MAX_HOT_KEYS keys can pass that test, which bounds the broadcast.
+    The count reads the key column only and is combined before its shuffle; when
+    nothing is hot, adaptive execution sees the empty broadcast and drops the hot
+    branch together with its scan.
+    """
+    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
+    hot = counts.filter(
+        (F.col("key_rows") > hot_rows) & (F.col("key_rows") * MAX_HOT_KEYS > total)
+    ).select(key)
+    return (
+        df.join(F.broadcast(hot), key, "left_anti"),
+        df.join(F.broadcast(hot), key, "left_semi"),
+    )
