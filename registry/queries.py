@@ -64,7 +64,7 @@ def run_date(spark, sf):
 
 def count_summary(turns: DataFrame) -> DataFrame:
     """Summary rows whose text depends on the chat alone."""
-    rows = chats.chat_facts(turns).select(
+    rows = chats.chat_facts(chats.flag_turns(turns)).select(
         "*",
         F.concat(F.lit("turns: "), F.col("total_turns").cast("string")).alias("summary"),
         F.lit("Neutral").alias("chat_sentiment"),
@@ -111,7 +111,7 @@ def first_file_wins(spark, sf):
 
 def prefilter_chats(spark, sf):
     turns = fx.turns(spark, sf)
-    rows = chats.chat_facts(turns).join(chats.chat_text(turns), "chat_id")
+    rows = chats.chat_facts(chats.flag_turns(turns)).join(chats.chat_text(turns), "chat_id")
     return chats.prefilter_chats(rows).select("chat_id", "total_turns", F.md5("chat_text").alias("digest"))
 
 
@@ -160,8 +160,12 @@ def turn_acronyms(spark, sf):
 # --- enrichment ---
 
 
-def safe_turns(spark, sf):
-    return materialise(offline.safe_turns(fx.turns(spark, sf)), "safe-turns")
+def features(spark, sf):
+    return materialise(offline.turn_features(fx.turns(spark, sf)), "turn-features")
+
+
+def keyword_scores(features: DataFrame) -> DataFrame:
+    return offline.keyword_scores(offline.term_frequency(features), features)
 
 
 def parsed(parse) -> Query:
@@ -176,21 +180,22 @@ def classify_sentiment(spark, sf):
 
 
 def extractive(spark, sf):
-    safe = safe_turns(spark, sf)
-    return offline.chat_summary_extractive(safe, offline.keyword_scores(safe))
+    found = features(spark, sf)
+    return offline.chat_summary_extractive(found, keyword_scores(found))
 
 
 def assemble(spark, sf):
     turns = fx.turns(spark, sf)
-    rows = chats.with_acronyms(chats.chat_facts(turns), chats.chat_acronyms(turns, fx.acronyms(spark)))
+    rows = chats.with_acronyms(chats.chat_facts(chats.flag_turns(turns)), chats.chat_acronyms(turns, fx.acronyms(spark)))
     rows = rows.withColumn("user_language", F.lit("English"))
     answers = fx.summaries(spark, sf).select("chat_id", "summary", "chat_sentiment", "keywords")
     return chat_summary.assemble_summary(rows, answers, RUN_TS)
 
 
 def flagship(spark, sf):
+    turns = materialise(conform(fx.turns(spark, sf), TURN_SCHEMA), "turns")
     return chat_summary.chat_summary(
-        fx.turns(spark, sf), fx.acronyms(spark), profiles(spark, sf), RUN_TS
+        turns, fx.acronyms(spark), profiles(spark, sf), RUN_TS
     ).drop("summarized_at")
 
 
@@ -209,7 +214,7 @@ def retried(spark, sf):
 
 def unseen_chats(spark, sf):
     done = fx.summaries(spark, sf).filter(quality.summary_status(F.col("summary")) == "OK")
-    return chats.unseen_chats(chats.chat_facts(fx.turns(spark, sf)), done)
+    return chats.unseen_chats(chats.chat_facts(chats.flag_turns(fx.turns(spark, sf))), done)
 
 
 def merge_delete_join(spark, sf):
@@ -322,10 +327,10 @@ def queries() -> dict[str, Query]:
         "parse_response": parsed(response.parse_response),
         "parse_simple_response": parsed(response.parse_simple_response),
         "classify_sentiment": classify_sentiment,
-        "user_sentiment": lambda spark, sf: offline.user_sentiment(offline.safe_turns(fx.turns(spark, sf))),
-        "chat_keywords": lambda spark, sf: offline.chat_keywords(
-            offline.keyword_scores(safe_turns(spark, sf))
+        "user_sentiment": lambda spark, sf: offline.user_sentiment(
+            offline.turn_features(fx.turns(spark, sf))
         ),
+        "chat_keywords": lambda spark, sf: offline.chat_keywords(keyword_scores(features(spark, sf))),
         "chat_summary_extractive": extractive,
         "assemble_summary": assemble,
         "chat_summary": flagship,
@@ -351,7 +356,7 @@ def queries() -> dict[str, Query]:
     }
     for name in ("total_turns", "is_in_scope", "chat_date"):
         key = {"is_in_scope": "chat_in_scope", "chat_date": "chat_first_date"}.get(name, name)
-        found[key] = lambda spark, sf, name=name: chats.chat_facts(fx.turns(spark, sf)).select(
+        found[key] = lambda spark, sf, name=name: chats.chat_facts(chats.flag_turns(fx.turns(spark, sf))).select(
             "chat_id", name
         )
     for label in rules.PII_PATTERNS:

@@ -27,16 +27,22 @@ def drop_null_chat(turns: DataFrame) -> DataFrame:
     return turns.filter(F.col("chat_id").isNotNull())
 
 
-def chat_facts(turns: DataFrame) -> DataFrame:
-    """Turn count, scope and first known date. Every aggregate combines before the shuffle."""
+def flag_turns(turns: DataFrame) -> DataFrame:
     unhelpful = text.unhelpful_response(F.col("response"))
+    return turns.select(
+        "chat_id", "turn_id", "turn_rank", "chat_date", unhelpful.alias("is_unhelpful")
+    )
+
+
+def chat_facts(flagged: DataFrame) -> DataFrame:
+    """Turn count, scope and first known date. Every aggregate combines before the shuffle."""
     dated = F.when(F.col("chat_date").isNotNull(), turn_position())
     return (
-        drop_null_chat(turns)
+        drop_null_chat(flagged)
         .groupBy("chat_id")
         .agg(
             F.count("turn_rank").alias("total_turns"),
-            F.when(F.bool_or(unhelpful), "N").otherwise("Y").alias("is_in_scope"),
+            F.when(F.bool_or("is_unhelpful"), "N").otherwise("Y").alias("is_in_scope"),
             F.min_by("chat_date", dated).alias("chat_date"),
         )
     )
@@ -92,7 +98,7 @@ def group_chats(turns: DataFrame, acronyms: DataFrame, languages: DataFrame) ->
     ``languages`` is the result of ``operators.language.chat_language``. All inputs
     of the joins are aggregated by chat_id already, so the joins add no shuffle.
     """
-    chats = chat_facts(turns).join(chat_text(turns), "chat_id")
+    chats = chat_facts(flag_turns(turns)).join(chat_text(turns), "chat_id")
     return with_acronyms(chats, chat_acronyms(turns, acronyms)).join(languages, "chat_id", "left")
 
 

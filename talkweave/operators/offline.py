@@ -1,6 +1,7 @@
 """Offline enrichment: sentiment, keywords and summary from DataFrame operations only.
 
-Input of all three is the result of ``safe_turns``.
+``turn_features`` reads the text of a turn once. Everything after it works on its
+narrow columns, so it is worth storing where more than one result is wanted.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,28 +12,47 @@ from talkweave.functions import redact, text
 from talkweave.operators.chats import drop_null_chat, turn_position
 
 TERSE_CHARS = 15
+MIN_TERM_CHARS = 4
 MAX_KEYWORDS = 8
 SUMMARY_WORDS = 150
 
 
-def safe_turns(turns: DataFrame, order: str = "specific_first") -> DataFrame:
-    """Turns with redacted text and the scope flag, the input of the enrichment."""
-    return drop_null_chat(turns).select(
-        "chat_id", "turn_id", "turn_rank",
+def turn_features(turns: DataFrame, order: str = "specific_first") -> DataFrame:
+    """What the enrichment needs of a turn, taken from its redacted text.
+
+    terms: words of the answer that can be keywords, repeats kept. question and
+    answer: first sentences; answer is null where the bot did not answer.
+    """
+    safe = drop_null_chat(turns).select(
+        "chat_id", "turn_id", "turn_rank", "chat_date",
         redact.sanitize_text(F.coalesce("question", F.lit("")), order).alias("safe_question"),
         redact.sanitize_text(F.col("response"), order).alias("safe_response"),
         text.unhelpful_response(F.col("response")).alias("is_unhelpful"),
     )
+    asked = F.lower(text.strip(F.col("safe_question")))
+    words = text.letter_words(redact.strip_labels(F.col("safe_response")))
+    terms = F.filter(
+        words, lambda w: (F.length(w) >= MIN_TERM_CHARS) & ~w.isin(rules.STOP_WORDS)
+    )
+    answered = F.col("safe_response").isNotNull()
+    return safe.select(
+        "chat_id", "turn_id", "turn_rank", "chat_date", "is_unhelpful",
+        text.polarity(F.col("safe_question")).alias("word_polarity"),
+        F.md5(asked).alias("asked"),
+        (F.length(asked) < TERSE_CHARS).alias("is_terse"),
+        text.first_sentence(F.col("safe_question")).alias("question"),
+        F.when(answered, text.first_sentence(F.col("safe_response"))).alias("answer"),
+        terms.alias("terms"),
+    )
 
 
-def user_sentiment(turns: DataFrame) -> DataFrame:
+def user_sentiment(features: DataFrame) -> DataFrame:
     """Sentiment from the user's side, with the integer signals it is built from."""
-    asked = F.lower(text.strip(F.col("safe_question")))
-    signals = turns.groupBy("chat_id").agg(
-        F.sum(text.polarity(F.col("safe_question"))).alias("word_polarity"),
+    signals = features.groupBy("chat_id").agg(
+        F.sum("word_polarity").alias("word_polarity"),
         F.count_if("is_unhelpful").alias("unhelpful_turns"),
-        (F.count(F.lit(1)) - F.count_distinct(F.md5(asked))).alias("repeated_questions"),
-        F.count_if(F.length(asked) < TERSE_CHARS).alias("terse_turns"),
+        (F.count(F.lit(1)) - F.count_distinct("asked")).alias("repeated_questions"),
+        F.count_if("is_terse").alias("terse_turns"),
     )
     score = (
         F.col("word_polarity") - F.col("unhelpful_turns")
@@ -42,23 +62,20 @@ def user_sentiment(turns: DataFrame) -> DataFrame:
     return signals.withColumn("chat_sentiment", label)
 
 
-def _terms(turns: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key and word of the bot's answers that can be a keyword."""
-    words = text.letter_words(redact.strip_labels(F.col("safe_response")))
-    return turns.select(*keys, F.explode(words).alias("term")).filter(
-        (F.length("term") >= 4) & ~F.col("term").isin(rules.STOP_WORDS)
-    )
+def term_frequency(features: DataFrame) -> DataFrame:
+    """(chat_id, term, tf), combined before its only shuffle."""
+    terms = features.select("chat_id", F.explode("terms").alias("term"))
+    return terms.groupBy("chat_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def keyword_scores(turns: DataFrame) -> DataFrame:
+def keyword_scores(frequency: DataFrame, features: DataFrame) -> DataFrame:
     """(chat_id, term, score, position): the best TF-IDF terms of each chat.
 
-    Frequencies are combined before their shuffles, and the per-chat limit is taken
-    before the last one. Terms common to very many chats make the join skewed on the
-    frequency side only, where adaptive execution splits them.
+    A term common to very many chats is a hot key of the join only on the frequency
+    side, where adaptive execution splits it. The limit per chat is applied within
+    each task before the last shuffle.
     """
-    chats = turns.agg(F.count_distinct("chat_id")).scalar()
-    frequency = _terms(turns, ["chat_id"]).groupBy("chat_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    chats = features.agg(F.count_distinct("chat_id")).scalar()
     spread = frequency.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     score = F.round(F.col("tf") * F.ln(chats / F.col("df")), 6)
     best = Window.partitionBy("chat_id").orderBy(F.desc("score"), "term")
@@ -77,29 +94,22 @@ def chat_keywords(scores: DataFrame) -> DataFrame:
     )
 
 
-def chat_summary_extractive(turns: DataFrame, scores: DataFrame) -> DataFrame:
+def chat_summary_extractive(features: DataFrame, scores: DataFrame) -> DataFrame:
     """First request, first answer, the most topical turn between, last answer.
 
     A turn's topicality is the number of the chat's keywords its answer names.
     """
-    answered = F.when(F.col("safe_response").isNotNull(), turn_position())
-    short = turns.select(
-        "chat_id",
-        turn_position().alias("place"),
-        answered.alias("answered"),
-        text.first_sentence(F.col("safe_question")).alias("question"),
-        text.first_sentence(F.col("safe_response")).alias("answer"),
-    )
-    ends = short.groupBy("chat_id").agg(
+    placed = features.withColumn("place", turn_position())
+    answered = F.when(F.col("answer").isNotNull(), F.col("place"))
+    ends = placed.groupBy("chat_id").agg(
         F.min_by("question", "place").alias("first_question"),
-        F.min_by("answer", "answered").alias("first_answer"),
-        F.max_by("answer", "answered").alias("last_answer"),
-        F.min("answered").alias("first_place"),
-        F.max("answered").alias("last_place"),
+        F.min_by("answer", answered).alias("first_answer"),
+        F.max_by("answer", answered).alias("last_answer"),
+        F.min(answered).alias("first_place"),
+        F.max(answered).alias("last_place"),
     )
     topical = (
-        _terms(turns.withColumn("place", turn_position()), ["chat_id", "place"])
-        .distinct()
+        placed.select("chat_id", "place", F.explode(F.array_distinct("terms")).alias("term"))
         .join(scores.select("chat_id", "term"), ["chat_id", "term"])
         .groupBy("chat_id", "place")
         .agg(F.count(F.lit(1)).alias("named"))
@@ -115,7 +125,8 @@ def chat_summary_extractive(turns: DataFrame, scores: DataFrame) -> DataFrame:
         .agg(F.min_by("place", "nth").alias("place"))
     )
     middle_answer = (
-        short.join(middle, ["chat_id", "place"])
+        placed.select("chat_id", "place", "answer")
+        .join(middle, ["chat_id", "place"])
         .groupBy("chat_id")
         .agg(F.min("answer").alias("middle_answer"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkweave.operators import chats, language, model, offline
-from talkweave.schema import SUMMARY_SCHEMA, TURN_SCHEMA, conform
+from talkweave.schema import SUMMARY_SCHEMA, conform
 from talkweave.staging import materialise
 
 
@@ -24,19 +24,21 @@ def assemble_summary(chat_rows: DataFrame, enrichment: DataFrame, run_ts: str) -
     return conform(filled, SUMMARY_SCHEMA)
 
 
-def chat_rows(turns: DataFrame, acronyms: DataFrame, profiles: DataFrame) -> DataFrame:
+def chat_rows(
+    turns: DataFrame, flagged: DataFrame, acronyms: DataFrame, profiles: DataFrame
+) -> DataFrame:
     """Everything known about a chat but its text, which the output does not carry."""
-    facts = chats.with_acronyms(chats.chat_facts(turns), chats.chat_acronyms(turns, acronyms))
+    facts = chats.with_acronyms(chats.chat_facts(flagged), chats.chat_acronyms(turns, acronyms))
     return facts.join(language.chat_language(turns, profiles), "chat_id", "left")
 
 
-def offline_enrichment(turns: DataFrame) -> DataFrame:
-    """Summary, sentiment and keywords without a model."""
-    safe = materialise(offline.safe_turns(turns), "safe-turns")
-    scores = materialise(offline.keyword_scores(safe), "keyword-scores")
+def offline_enrichment(features: DataFrame) -> DataFrame:
+    """Summary, sentiment and keywords without a model, from stored turn features."""
+    frequency = materialise(offline.term_frequency(features), "term-frequency")
+    scores = materialise(offline.keyword_scores(frequency, features), "keyword-scores")
     return (
-        offline.chat_summary_extractive(safe, scores)
-        .join(offline.user_sentiment(safe).select("chat_id", "chat_sentiment"), "chat_id")
+        offline.chat_summary_extractive(features, scores)
+        .join(offline.user_sentiment(features).select("chat_id", "chat_sentiment"), "chat_id")
         .join(offline.chat_keywords(scores), "chat_id", "left")
     )
 
@@ -44,10 +46,14 @@ def offline_enrichment(turns: DataFrame) -> DataFrame:
 def chat_summary(
     turns: DataFrame, acronyms: DataFrame, profiles: DataFrame, run_ts: str | None = None
 ) -> DataFrame:
-    """Summary rows with offline enrichment."""
-    stored = materialise(conform(turns, TURN_SCHEMA), "turns")
-    rows = chat_rows(stored, acronyms, profiles)
-    return assemble_summary(rows, offline_enrichment(stored), run_ts or now_utc())
+    """Summary rows with offline enrichment.
+
+    ``turns`` should be a stored table: question and response are read twice (features,
+    acronyms), the raw columns once. Only features much smaller than the text are stored.
+    """
+    features = materialise(offline.turn_features(turns), "turn-features")
+    rows = chat_rows(turns, features, acronyms, profiles)
+    return assemble_summary(rows, offline_enrichment(features), run_ts or now_utc())
 
 
 def chat_summary_by_model(
@@ -58,7 +64,7 @@ def chat_summary_by_model(
     options: model.CallOptions = model.CallOptions(),
     run_ts: str | None = None,
 ) -> DataFrame:
-    """Summary rows with a model behind ``client_factory``."""
-    stored = materialise(conform(turns, TURN_SCHEMA), "turns")
-    answers = model.enrich_with_model(chats.prompt_text(stored), client_factory, options)
-    return assemble_summary(chat_rows(stored, acronyms, profiles), answers, run_ts or now_utc())
+    """Summary rows with a model behind ``client_factory``; ``turns`` as above."""
+    answers = model.enrich_with_model(chats.prompt_text(turns), client_factory, options)
+    rows = chat_rows(turns, chats.flag_turns(turns), acronyms, profiles)
+    return assemble_summary(rows, answers, run_ts or now_utc())

@@ -61,7 +61,7 @@ def turns_distribution(summaries: DataFrame) -> DataFrame:
     return sizes.groupBy("user_language").agg(
         F.sum("n").alias("chats"),
         F.min("total_turns").alias("min_turns"),
-        F.percentile("total_turns", 0.5, "n").alias("median_turns"),
-        F.round(F.percentile("total_turns", 0.95, "n"), 6).alias("p95_turns"),
+        F.percentile("total_turns", 0.5, F.col("n")).alias("median_turns"),
+        F.round(F.percentile("total_turns", 0.95, F.col("n")), 6).alias("p95_turns"),
         F.max("total_turns").alias("max_turns"),
     )
