@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkweave.sources.turns import pair_messages
+from talkweave.staging import spread
 
 ACRONYMS = ["API", "SLA", "KYC", "CRM"]
 
@@ -101,7 +102,7 @@ def turns(spark: SparkSession, sf: str) -> DataFrame:
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with personal data behind and a foreign script before the text."""
     doc = F.col("doc_id")
-    return load(spark, sf, "documents").select(
+    return spread(load(spark, sf, "documents")).select(
         "doc_id",
         F.concat("text", pick(doc % 16, DOCUMENT_SUFFIX)).alias("text"),
         F.concat(pick(doc % 12, DOCUMENT_PREFIX), F.col("text")).alias("scripted"),

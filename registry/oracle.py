@@ -164,7 +164,7 @@ TOKENS = "regexp_split_to_array(coalesce(question, '') || ' ' || coalesce(respon
 def clean(x: str) -> str:
     # A "q" on both sides of every non-ASCII letter makes it part of a word for \\b.
     marked = f"regexp_replace(coalesce({x}, ''), {lit(r'([^\x00-\x7F\P{L}])')}, 'q\\1q', 'g')"
-    noise = f"regexp_replace({marked}, {lit(rules.LANGUAGE_NOISE)}, ' ', 'g')"
+    noise = f"regexp_replace({marked}, {lit('|'.join(rules.LANGUAGE_NOISE))}, ' ', 'g')"
     plain = f"regexp_replace({noise}, {lit(r'q([^\x00-\x7F\P{L}])q')}, '\\1', 'g')"
     return f"left(trim(regexp_replace({plain}, '\\s+', ' ', 'g')), {rules.LANGUAGE_CHARS})"
 

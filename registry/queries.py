@@ -14,7 +14,7 @@ from talkweave.plans import chat_summary, quality, reports
 from talkweave.schema import SUMMARY_SCHEMA, TURN_SCHEMA, conform
 from talkweave.sources import summaries as table
 from talkweave.sources import turns as source
-from talkweave.staging import materialise, new_path
+from talkweave.staging import materialise, new_path, spread
 from talkweave.streaming.ingest import incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,11 +132,11 @@ def on_scripted(out: str, make) -> Query:
 
 
 def profiles(spark, sf):
-    return language.train_profiles(fx.load(spark, sf, "documents"))
+    return language.train_profiles(spread(fx.load(spark, sf, "documents")))
 
 
 def lang_ngram(spark, sf):
-    cleaned = fx.load(spark, sf, "documents").select(
+    cleaned = spread(fx.load(spark, sf, "documents")).select(
         "doc_id", "lang", lang.lang_clean(F.col("text")).alias("cleaned")
     )
     found = language.ngram_language(cleaned, "cleaned", profiles(spark, sf), "detected")

@@ -6,9 +6,20 @@ from pyspark.sql import functions as F
 from talkweave import rules
 
 
-def lang_clean(text: Column) -> Column:
+# Every alternative but the e-mail one starts with one of these; a cheap test first.
+_NOISE_START = r"(?=[\[*#\\\n{}()\]|`~<>€$£¥₹.,h\d]|\b[A-Za-f])"
+_NOISE = "(?dU)" + "|".join(rules.LANGUAGE_NOISE)
+_NOISE_WITHOUT_AT = (
+    f"(?dU){_NOISE_START}(?:" + "|".join(p for p in rules.LANGUAGE_NOISE if "@" not in p) + ")"
+)
+
+
+def lang_clean(raw: Column) -> Column:
     """Text without links, markup, ids, amounts and addresses; first 200 characters."""
-    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), "(?dU)" + rules.LANGUAGE_NOISE, " ")
+    text = F.coalesce(raw, F.lit(""))
+    spaced = F.when(text.contains("@"), F.regexp_replace(text, _NOISE, " ")).otherwise(
+        F.regexp_replace(text, _NOISE_WITHOUT_AT, " ")
+    )
     single = F.regexp_replace(spaced, r"(?U)\s+", " ")
     return F.left(F.trim(single), F.lit(rules.LANGUAGE_CHARS))
 

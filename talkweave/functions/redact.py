@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 
 from talkweave import rules
 
-# (?U) gives \\b, \\w, \\d and \\s their Unicode meaning, so that "déjà" is one word.
-PROFANITY = "(?iU)" + "|".join(rules.PROFANITY_PATTERNS)
+# (?U) gives \b, \w, \d and \s their Unicode meaning, so that "déjà" is one word.
+# All profanity patterns start at a word start with one of seven letters: testing
+# that once per position is several times faster than trying thirteen patterns.
+PROFANITY = (
+    r"(?iU)\b(?=[fsabcdiw])(?:"
+    + "|".join(p.removeprefix(r"\b") for p in rules.PROFANITY_PATTERNS)
+    + ")"
+)
+NEED_DIGITS = {"PHONE", "CARD", "ACCOUNT", "SSN", "ORDER_ID", "IP", "ADDRESS"}
+NEED_AT = {"EMAIL"}
 
 
 def pattern(label: str) -> str:
     regex, ignore_case = rules.PII_PATTERNS[label]
-    return ("(?iU)" if ignore_case else "(?U)") + regex
+    first = r"(?=[+(\d])" if label == "PHONE" else ""
+    return ("(?iU)" if ignore_case else "(?U)") + first + regex
 
 
 def redact_profanity(c: Column) -> Column:
@@ -28,7 +37,22 @@ def redact(c: Column, label: str) -> Column:
 
 
 def redact_all(c: Column, labels: list[str]) -> Column:
-    return reduce(redact, labels, redact_profanity(c))
+    """Profanity, then ``labels`` in order.
+
+    No step adds a digit or an "@", so text without them takes a shorter chain.
+    """
+
+    def chain(*absent: set[str]) -> Column:
+        skipped = set().union(*absent)
+        return reduce(redact, [x for x in labels if x not in skipped], redact_profanity(c))
+
+    digits, at = c.rlike(r"(?U)\d"), c.contains("@")
+    return (
+        F.when(digits & at, chain())
+        .when(digits, chain(NEED_AT))
+        .when(at, chain(NEED_DIGITS))
+        .otherwise(chain(NEED_DIGITS, NEED_AT))
+    )
 
 
 def sanitize_text(c: Column, order: str = "specific_first") -> Column:

@@ -78,12 +78,13 @@ HINGLISH_WORDS = [
     "pehle", "baad", "upar", "neeche", "andar", "bahar", "sath",
 ]
 
-LANGUAGE_NOISE = (
-    r"https?://\S+|\[\[.*?\]\]|\[.*?\]\(.*?\)|\*+|#+|\\n|\n|[{}()\[\]|`~<>]"
-    r"|\bB[0-9A-Z]{9}\b|\b[A-Z0-9]{10,}\b|\b\d{3}-\d{7}-\d{7}\b"
-    r"|[€$£¥₹][\d.,]+|[\d.,]+[€$£¥₹]|\b[A-Z][A-Z0-9_]{5,}\b"
-    r"|\S+@\S+\.\S+|\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b"
-)
+# Alternatives of one pattern, in order.
+LANGUAGE_NOISE = [
+    r"https?://\S+", r"\[\[.*?\]\]", r"\[.*?\]\(.*?\)", r"\*+", r"#+", r"\\n", r"\n",
+    r"[{}()\[\]|`~<>]", r"\bB[0-9A-Z]{9}\b", r"\b[A-Z0-9]{10,}\b", r"\b\d{3}-\d{7}-\d{7}\b",
+    r"[€$£¥₹][\d.,]+", r"[\d.,]+[€$£¥₹]", r"\b[A-Z][A-Z0-9_]{5,}\b", r"\S+@\S+\.\S+",
+    r"\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",
+]
 KNOWN_LETTERS = (
     "[a-zA-ZÀ-ɏЀ-ӿ一-鿿"
     "぀-ヿ؀-ۿऀ-ॿ가-힯]{2,}"
