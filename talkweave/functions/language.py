@@ -4,13 +4,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from talkweave import rules
+from talkweave.functions.regex import WORD_START, java
 
 
 # Every alternative but the e-mail one starts with one of these; a cheap test first.
-_NOISE_START = r"(?=[\[*#\\\n{}()\]|`~<>€$£¥₹.,h\d]|\b[A-Za-f])"
-_NOISE = "(?dU)" + "|".join(rules.LANGUAGE_NOISE)
+_NOISE_START = r"(?=[\[*#\\\n{}()\]|`~<>€$£¥₹.,h\p{Nd}]|" + WORD_START + "[A-Za-f])"
+# (?d): only a line feed ends a line.
+_NOISE = "(?d)" + "|".join(map(java, rules.LANGUAGE_NOISE))
 _NOISE_WITHOUT_AT = (
-    f"(?dU){_NOISE_START}(?:" + "|".join(p for p in rules.LANGUAGE_NOISE if "@" not in p) + ")"
+    f"(?d){_NOISE_START}(?:" + "|".join(java(p) for p in rules.LANGUAGE_NOISE if "@" not in p) + ")"
 )
 
 
@@ -20,7 +22,7 @@ def lang_clean(raw: Column) -> Column:
     spaced = F.when(text.contains("@"), F.regexp_replace(text, _NOISE, " ")).otherwise(
         F.regexp_replace(text, _NOISE_WITHOUT_AT, " ")
     )
-    single = F.regexp_replace(spaced, r"(?U)\s+", " ")
+    single = F.regexp_replace(spaced, java(r"\s+"), " ")
     return F.left(F.trim(single), F.lit(rules.LANGUAGE_CHARS))
 
 

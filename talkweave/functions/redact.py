@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from talkweave import rules
+from talkweave.functions.regex import WORD_START, java
 
-# (?U) gives \b, \w, \d and \s their Unicode meaning, so that "déjà" is one word.
 # All profanity patterns start at a word start with one of seven letters: testing
 # that once per position is several times faster than trying thirteen patterns.
 PROFANITY = (
-    r"(?iU)\b(?=[fsabcdiw])(?:"
-    + "|".join(p.removeprefix(r"\b") for p in rules.PROFANITY_PATTERNS)
+    f"(?iu){WORD_START}(?=[fsabcdiw])(?:"
+    + "|".join(java(p.removeprefix(r"\b")) for p in rules.PROFANITY_PATTERNS)
     + ")"
 )
 NEED_DIGITS = {"PHONE", "CARD", "ACCOUNT", "SSN", "ORDER_ID", "IP", "ADDRESS"}
@@ -21,8 +21,8 @@ NEED_AT = {"EMAIL"}
 
 def pattern(label: str) -> str:
     regex, ignore_case = rules.PII_PATTERNS[label]
-    first = r"(?=[+(\d])" if label == "PHONE" else ""
-    return ("(?iU)" if ignore_case else "(?U)") + first + regex
+    first = r"(?=[+(\p{Nd}])" if label == "PHONE" else ""
+    return ("(?iu)" if ignore_case else "") + first + java(regex)
 
 
 def redact_profanity(c: Column) -> Column:
@@ -46,7 +46,7 @@ def redact_all(c: Column, labels: list[str]) -> Column:
         skipped = set().union(*absent)
         return reduce(redact, [x for x in labels if x not in skipped], redact_profanity(c))
 
-    digits, at = c.rlike(r"(?U)\d"), c.contains("@")
+    digits, at = c.rlike(r"\p{Nd}"), c.contains("@")
     return (
         F.when(digits & at, chain())
         .when(digits, chain(NEED_AT))

@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from talkweave import rules
+from talkweave.functions.regex import java
 
 
 def strip(c: Column) -> Column:
@@ -57,7 +58,7 @@ def truncate_text(c: Column, n: int = rules.PROMPT_CHARS) -> Column:
 def simplify_text(c: Column) -> Column:
     """Plain text for the second prompt: no markup characters, single spaces."""
     bare = F.regexp_replace(c, r"[*#\\_\[\](){}|`~]", "")
-    return F.left(F.regexp_replace(bare, r"(?U)\s+", " "), F.lit(rules.FALLBACK_CHARS))
+    return F.left(F.regexp_replace(bare, java(r"\s+"), " "), F.lit(rules.FALLBACK_CHARS))
 
 
 def build_prompt(safe_text: Column) -> Column:

@@ -7,6 +7,14 @@ HOT_ROWS = 100_000
 MAX_HOT_KEYS = 100_000
 
 
+def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
+    return counts.filter(
+        (F.col("key_rows") > hot_rows) & (F.col("key_rows") * MAX_HOT_KEYS > total)
+    ).select(key)
+
+
 def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys, and rows of keys too large for one task.
 
@@ -16,12 +24,21 @@ def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFr
     nothing is hot, adaptive execution sees the empty broadcast and drops the hot
     branch together with its scan.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
-    hot = counts.filter(
-        (F.col("key_rows") > hot_rows) & (F.col("key_rows") * MAX_HOT_KEYS > total)
-    ).select(key)
+    hot = _hot_keys(df, key, hot_rows)
     return (
         df.join(F.broadcast(hot), key, "left_anti"),
         df.join(F.broadcast(hot), key, "left_semi"),
     )
+
+
+def keep_keys(df: DataFrame, keys: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of ``df`` whose ``key`` occurs in ``keys``, with no task given a whole hot key.
+
+    Ordinary keys are shuffled; the hot ones among ``keys`` are few enough to broadcast.
+    """
+    cold, hot = split_hot(df, key, hot_rows)
+    wanted = keys.select(key).distinct()
+    hot_wanted = wanted.join(F.broadcast(_hot_keys(df, key, hot_rows)), key, "left_semi")
+    return cold.join(wanted, key, "left_semi").unionByName(
+        hot.join(F.broadcast(hot_wanted), key, "left_semi")
+    )

@@ -86,14 +86,14 @@ LANGUAGE_NOISE = [
     r"\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",
 ]
 KNOWN_LETTERS = (
-    "[a-zA-ZÀ-ɏЀ-ӿ一-鿿"
-    "぀-ヿ؀-ۿऀ-ॿ가-힯]{2,}"
+    "[a-zA-Z\u00c0-\u024f\u0400-\u04ff\u4e00-\u9fff"
+    "\u3040-\u30ff\u0600-\u06ff\u0900-\u097f\uac00-\ud7af]{2,}"
 )
-HAN = "[一-鿿]"
-KANA = "[぀-ヿ]"
-HANGUL = "[가-힯]"
-ARABIC = "[؀-ۿ]"
-DEVANAGARI = "[ऀ-ॿ]"
+HAN = "[\u4e00-\u9fff]"
+KANA = "[\u3040-\u30ff]"
+HANGUL = "[\uac00-\ud7af]"
+ARABIC = "[\u0600-\u06ff]"
+DEVANAGARI = "[\u0900-\u097f]"
 TURKISH_LETTERS = "[ışğİŞĞ]"
 GERMAN_LETTERS = "[äöüßÄÖÜ]"
 
@@ -128,8 +128,8 @@ REDACTION_ORDERS = {"specific_first": SPECIFIC_FIRST, "shipped": SHIPPED}
 
 # What Python's str.strip() removes.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
-    "         　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
 # ISO code -> language name, for labelled training text.

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +14,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="talkweave-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="talkweave-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

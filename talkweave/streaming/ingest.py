@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from talkweave.operators.skew import keep_keys
 from talkweave.schema import TURN_SCHEMA, conform
 from talkweave.sources.summaries import merge_summaries
 from talkweave.staging import materialise
@@ -43,8 +44,8 @@ def incremental_ingest(
             .parquet(turn_store)
         )
         stored = session.read.schema(STORED_SCHEMA).parquet(turn_store)
-        touched = stored.filter(F.col("batch_id") == batch_id).select("chat_id").distinct()
-        turns = stored.drop("batch_id").join(touched, "chat_id", "left_semi")
+        touched = stored.filter(F.col("batch_id") == batch_id).select("chat_id")
+        turns = keep_keys(stored.drop("batch_id"), touched, "chat_id")
         merge_summaries(session, summary_table, materialise(summarise(turns), "staged"))
 
     return (
