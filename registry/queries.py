@@ -132,7 +132,9 @@ def on_scripted(out: str, make) -> Query:
 
 
 def profiles(spark, sf):
-    return language.train_profiles(spread(fx.load(spark, sf, "documents")))
+    return materialise(
+        language.train_profiles(spread(fx.load(spark, sf, "documents"))), "profiles"
+    )
 
 
 def lang_ngram(spark, sf):

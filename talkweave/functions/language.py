@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from talkweave import rules
-from talkweave.functions.regex import WORD_START, java
+from talkweave.functions.regex import SPACES, WORD_START, java
 
 
 # Every alternative but the e-mail one starts with one of these; a cheap test first.
@@ -22,7 +22,7 @@ def lang_clean(raw: Column) -> Column:
     spaced = F.when(text.contains("@"), F.regexp_replace(text, _NOISE, " ")).otherwise(
         F.regexp_replace(text, _NOISE_WITHOUT_AT, " ")
     )
-    single = F.regexp_replace(spaced, java(r"\s+"), " ")
+    single = F.regexp_replace(spaced, SPACES, " ")
     return F.left(F.trim(single), F.lit(rules.LANGUAGE_CHARS))
 
 

@@ -5,10 +5,25 @@ the details (control characters that separate, combining marks, superscript digi
 so the classes are spelled out.
 """
 
+import re
+
 SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = r"\p{L}\p{N}_"
 WORD_START = f"(?<![{WORD}])"  # before a word character
 WORD_END = f"(?![{WORD}])"  # after a word character
+# Most characters are printable ASCII, and one comparison rules those out.
+SPACES = f"(?=[^!-~])[{SPACE}]+"
+
+
+_FIRST = re.compile(r"\[[^\]]+\]|\\p\{Nd\}|[A-Za-z]")
+
+
+def _first(body: str) -> str:
+    """Test of the first character, which is cheaper than looking behind it."""
+    if options := re.match(r"\(([A-Za-z|]+)\)", body):
+        return "(?=[" + "".join(sorted({o[0] for o in options[1].split("|")})) + "])"
+    found = _FIRST.match(body)
+    return f"(?={found[0]})" if found else ""
 
 
 def java(regex: str) -> str:
@@ -19,4 +34,4 @@ def java(regex: str) -> str:
         (r"\S", f"[^{SPACE}]"), (r"\s", f"[{SPACE}]"), (r"\w", f"[{WORD}]"), (r"\d", r"\p{Nd}")
     ):
         body = body.replace(python, spelled)
-    return (WORD_START if start else "") + body + (WORD_END if end else "")
+    return (_first(body) + WORD_START if start else "") + body + (WORD_END if end else "")

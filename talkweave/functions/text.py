@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from talkweave import rules
-from talkweave.functions.regex import java
+from talkweave.functions.regex import SPACES
 
 
 def strip(c: Column) -> Column:
@@ -32,7 +32,9 @@ def format_turn(rank: Column, question: Column, response: Column) -> Column:
 
 
 def normalize_quotes(response: Column) -> Column:
-    straight = F.translate(F.coalesce(response, F.lit("")), "‘’“”", "''\"\"")
+    straight = F.coalesce(response, F.lit(""))
+    for curly, plain in zip("‘’“”", "''\"\""):
+        straight = F.replace(straight, F.lit(curly), F.lit(plain))
     return F.lower(straight)
 
 
@@ -41,9 +43,9 @@ def unhelpful_response(response: Column, phrases: list[str] = rules.UNHELPFUL_PH
 
 
 def alphanumeric_tokens(question: Column, response: Column) -> Column:
-    """Distinct ASCII alphanumeric tokens of a turn, the unit acronyms are matched on."""
+    """ASCII alphanumeric tokens of a turn, the unit acronyms are matched on."""
     text = F.concat(F.coalesce(question, F.lit("")), F.lit(" "), F.coalesce(response, F.lit("")))
-    return F.array_distinct(F.split(text, "[^A-Za-z0-9]+"))
+    return F.split(text, r"\P{Alnum}+")
 
 
 def letter_words(c: Column) -> Column:
@@ -58,7 +60,7 @@ def truncate_text(c: Column, n: int = rules.PROMPT_CHARS) -> Column:
 def simplify_text(c: Column) -> Column:
     """Plain text for the second prompt: no markup characters, single spaces."""
     bare = F.regexp_replace(c, r"[*#\\_\[\](){}|`~]", "")
-    return F.left(F.regexp_replace(bare, java(r"\s+"), " "), F.lit(rules.FALLBACK_CHARS))
+    return F.left(F.regexp_replace(bare, SPACES, " "), F.lit(rules.FALLBACK_CHARS))
 
 
 def build_prompt(safe_text: Column) -> Column:

@@ -15,6 +15,7 @@ RANK_BLOCK = 1024
 # A redacted turn keeps at least " :\nUser: ", so this many turns fill any prompt.
 TURNS_PER_PROMPT = math.ceil(rules.PROMPT_CHARS / len(" :\nUser: ")) + 1
 SALTS = 64
+MAX_LISTED_ACRONYMS = 1000
 
 
 def turn_position(*ties: str) -> Column:
@@ -68,14 +69,19 @@ def chat_text(turns: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 def turn_acronyms(turns: DataFrame, acronyms: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, acronyms): sorted distinct acronyms per key; keys without a hit are absent.
 
-    The dimension is joined without a hint: it is broadcast if its measured size
-    allows, else shuffled with skewed tokens split by adaptive execution.
+    A dimension of at most MAX_LISTED_ACRONYMS becomes a set in the plan, so that only
+    hits leave the turn. A larger one is joined without a hint: broadcast if its
+    measured size allows, else shuffled with skewed tokens split by adaptive execution.
     """
-    tokens = turns.select(
-        *keys,
-        F.explode(text.alphanumeric_tokens(F.col("question"), F.col("response"))).alias(ACRONYM),
-    )
-    hits = tokens.join(acronyms, ACRONYM)
+    listed = [r[0] for r in acronyms.select(ACRONYM).limit(MAX_LISTED_ACRONYMS + 1).collect()]
+    tokens = text.alphanumeric_tokens(F.col("question"), F.col("response"))
+    if len(listed) <= MAX_LISTED_ACRONYMS:
+        known = F.array_distinct(F.filter(tokens, lambda t: t.isin(listed)))
+        hits = turns.select(*keys, F.explode(known).alias(ACRONYM))
+    else:
+        hits = turns.select(*keys, F.explode(F.array_distinct(tokens)).alias(ACRONYM)).join(
+            acronyms, ACRONYM
+        )
     return hits.groupBy(*keys).agg(F.array_sort(F.collect_set(ACRONYM)).alias("acronyms"))
 
 
@@ -151,9 +157,16 @@ def prompt_text(
         raise ValueError("NAME must be the last label")
     opening, border = "Turn", "\n\nTurn"
     line = text.format_turn(F.col("turn_rank"), F.col("question"), F.col("response"))
+    # The rank stands between a blank and a colon: alone it can be taken for an
+    # identifier from seven digits on.
+    has_digits = (
+        (F.col("turn_rank") >= 1_000_000)
+        | F.coalesce(F.col("question").rlike(redact.DIGIT), F.lit(False))
+        | F.coalesce(F.col("response").rlike(redact.DIGIT), F.lit(False))
+    )
+    safe = redact.redact_all(line, labels[:-1], has_digits)
     pieces = drop_null_chat(turns).select(
-        "chat_id", "turn_rank", "turn_id",
-        F.substr(redact.redact_all(line, labels[:-1]), F.lit(len(opening) + 1)).alias("body"),
+        "chat_id", "turn_rank", "turn_id", F.substr(safe, F.lit(len(opening) + 1)).alias("body")
     )
     cold, hot = split_hot(pieces, "chat_id", hot_rows)
     salted = hot.withColumn("salt", F.pmod(F.xxhash64("turn_rank", "turn_id"), F.lit(SALTS)))

@@ -3,12 +3,15 @@
 Rank-order character trigram profiles after Cavnar and Trenkle (1994).
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkweave import rules
 from talkweave.functions import language as rule
 from talkweave.functions.text import letter_words
+from talkweave.staging import materialise
 
 PROFILE_SIZE = 300
 
@@ -41,29 +44,36 @@ def train_profiles(labelled: DataFrame) -> DataFrame:
     )
 
 
-def ngram_language(df: DataFrame, text_column: str, profiles: DataFrame, out: str) -> DataFrame:
-    """Add ``out``: the best language of ``text_column``, null for a null text or no match.
+def ngram_language(texts: DataFrame, column: str, profiles: DataFrame, out: str) -> DataFrame:
+    """``texts`` with ``out``: the best language of ``column``, null if no trigram is known.
 
-    The rows of ``df`` must be distinct. All steps group by the columns of ``df``,
-    so a partitioning by some of them serves every step, and rows with a null text
-    pass as a single row. Score of a language: sum of 300 - |rank difference|.
+    Each distinct text is scored once; ``column`` must not be null. All steps group by
+    the text, so one shuffle serves them; its hash comes first to keep sorts off the
+    long strings. Score of a language: sum of 300 - |rank difference|.
     """
-    keys = df.columns
+    key = ["text_hash", "scored_text"]
+    distinct = texts.select(F.col(column).alias("scored_text")).distinct()
     counted = (
-        df.select(*keys, F.explode_outer(rule.trigrams(F.col(text_column))).alias("trigram"))
-        .groupBy(*keys, "trigram")
+        distinct.select(
+            F.xxhash64("scored_text").alias("text_hash"),
+            "scored_text",
+            F.explode(rule.trigrams(F.col("scored_text"))).alias("trigram"),
+        )
+        .groupBy(*key, "trigram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    by_count = Window.partitionBy(*keys).orderBy(F.desc("n"), "trigram")
+    by_count = Window.partitionBy(*key).orderBy(F.desc("n"), "trigram")
     ranked = counted.withColumn("text_rank", F.row_number().over(by_count))
     closeness = PROFILE_SIZE - F.abs(F.col("text_rank") - F.col("profile_rank"))
     scored = (
-        ranked.join(F.broadcast(profiles), "trigram", "left")
-        .groupBy(*keys, "language")
+        ranked.join(F.broadcast(profiles), "trigram")
+        .groupBy(*key, "language")
         .agg(F.sum(closeness).alias("score"))
     )
-    best_first = F.when(F.col("language").isNotNull(), F.struct(-F.col("score"), F.col("language")))
-    return scored.groupBy(*keys).agg(F.min_by("language", best_first).alias(out))
+    best = scored.groupBy(*key).agg(
+        F.min_by("language", F.struct(-F.col("score"), F.col("language"))).alias(out)
+    )
+    return texts.join(best, F.col(column) == F.col("scored_text"), "left").drop(*key)
 
 
 def turn_language(
@@ -72,7 +82,7 @@ def turn_language(
     """(keys, language, votes): turns per language, question first, response second.
 
     Turns that rules decide carry no text beyond the first projection and collapse
-    to one row per key before the shuffle; equal undecided turns are scored once.
+    to one row per key before the shuffle. The rest is stored and scored.
     """
 
     def rule_of(cleaned):
@@ -95,22 +105,39 @@ def turn_language(
     settled = F.coalesce(
         "q_rule", F.when(ask.isNull(), F.coalesce(F.col("r_rule"), F.when(reply.isNull(), "English")))
     )
-    opened = F.col("settled").isNull()
-    votes = (
-        ruled.select(*keys, "r_rule", ask.alias("ask"), reply.alias("reply"), settled.alias("settled"))
+    opened = F.col("language").isNull()
+    votes = materialise(
+        ruled.select(*keys, "r_rule", ask.alias("ask"), reply.alias("reply"), settled.alias("language"))
         .select(
-            *keys, "settled",
+            *keys, "language",
             *[F.when(opened, F.col(c)).alias(c) for c in ("ask", "reply", "r_rule")],
         )
-        .groupBy(*keys, "settled", "ask", "reply", "r_rule")
-        .agg(F.count(F.lit(1)).alias("votes"))
+        .groupBy(*keys, "language", "ask", "reply", "r_rule")
+        .agg(F.count(F.lit(1)).alias("votes")),
+        "language-votes",
+    )
+    first = votes.filter(opened).withColumn("text", F.coalesce("ask", "reply"))
+    named = F.coalesce("by_text", "r_rule")
+    asked = materialise(
+        ngram_language(first, "text", profiles, "by_text").select(
+            *keys,
+            named.alias("language"),
+            # A question no profile knows leaves the decision to the response.
+            F.when(named.isNull() & F.col("ask").isNotNull(), F.col("reply")).alias("reply"),
+            "votes",
+        ),
+        "language-asked",
+    )
+    second = asked.filter(opened & F.col("reply").isNotNull()).drop("language")
+    replied = ngram_language(second, "reply", profiles, "language")
+    columns = [*keys, "language", "votes"]
+    parts = [votes.filter(~opened), asked.filter(~opened | F.col("reply").isNull()), replied]
+    whole = reduce(DataFrame.unionByName, [part.select(columns) for part in parts])
+    return (
+        whole.na.fill({"language": "English"})
+        .groupBy(*keys, "language")
+        .agg(F.sum("votes").alias("votes"))
     )
-    asked = ngram_language(votes, "ask", profiles, "ask_language")
-    known = F.coalesce("settled", "ask_language", "r_rule")
-    pending = asked.withColumn("pending", F.when(known.isNull(), F.col("reply")))
-    replied = ngram_language(pending, "pending", profiles, "reply_language")
-    found = replied.withColumn("language", F.coalesce(known, F.col("reply_language"), F.lit("English")))
-    return found.groupBy(*keys, "language").agg(F.sum("votes").alias("votes"))
 
 
 def chat_language(turns: DataFrame, profiles: DataFrame, strip_punctuation: bool = False) -> DataFrame:

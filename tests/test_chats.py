@@ -50,6 +50,7 @@ def test_prompt_text_equals_redacting_the_whole(spark, order, hot_rows):
     rows = random_turns(6)
     rows += [("wordy", f"t{i}", i, "Ask Dr", "Jane x@y.com " * 40, None) for i in range(1, 60)]
     rows += [("terse", f"t{i}", i, "", "", None) for i in range(1, 1500)]
+    rows += [("far", f"t{i}", i, "a", None, None) for i in (999_999, 1_000_000, 12_345_678, 10**15)]
     got = chats.prompt_text(make_turns(spark, rows), order, hot_rows)
     expected = {c: sanitized(t, order)[:8000] for c, t in joined_text(rows).items()}
     assert {r.chat_id: r.safe_text for r in got.collect()} == expected
@@ -75,7 +76,9 @@ def test_facts_and_order(spark):
     assert texts["b"] == "Turn 1:\nUser: \nBot: fine"
 
 
-def test_acronyms(spark):
+@pytest.mark.parametrize("listed", [1000, 1])
+def test_acronyms(spark, monkeypatch, listed):
+    monkeypatch.setattr(chats, "MAX_LISTED_ACRONYMS", listed)
     dim = spark.createDataFrame([("API",), ("SLA",), ("NA",)], "acronym_shrt string")
     rows = [
         ("a", "t1", 1, "the API, or api-SLA?", "APIs", None),
