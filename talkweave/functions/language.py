@@ -4,15 +4,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from talkweave import rules
-from talkweave.functions.regex import SPACES, WORD_START, java
+from talkweave.functions.regex import SPACES, WORD, java
 
 
 # Every alternative but the e-mail one starts with one of these; a cheap test first.
-_NOISE_START = r"(?=[\[*#\\\n{}()\]|`~<>€$£¥₹.,h\p{Nd}]|" + WORD_START + "[A-Za-f])"
+_NOISE_START = (
+    r"(?=[\[*#\\\n{}()\]|`~<>€$£¥₹.,h\p{Nd}]|[A-Za-f](?<![" + WORD + "][A-Za-f]))"
+)
 # (?d): only a line feed ends a line.
-_NOISE = "(?d)" + "|".join(map(java, rules.LANGUAGE_NOISE))
+_NOISE = "(?dU)" + "|".join(map(java, rules.LANGUAGE_NOISE))
 _NOISE_WITHOUT_AT = (
-    f"(?d){_NOISE_START}(?:" + "|".join(java(p) for p in rules.LANGUAGE_NOISE if "@" not in p) + ")"
+    f"(?dU){_NOISE_START}(?:" + "|".join(java(p) for p in rules.LANGUAGE_NOISE if "@" not in p) + ")"
 )
 
 

@@ -11,7 +11,7 @@ from talkweave.functions.regex import WORD_START, java
 # All profanity patterns start at a word start with one of seven letters: testing
 # that once per position is several times faster than trying thirteen patterns.
 PROFANITY = (
-    f"(?iu){WORD_START}(?=[fsabcdiw])(?:"
+    f"(?iU){WORD_START}(?=[fsabcdiw])(?:"
     + "|".join(java(p.removeprefix(r"\b")) for p in rules.PROFANITY_PATTERNS)
     + ")"
 )
@@ -23,7 +23,7 @@ DIGIT = r"\p{Nd}"
 def pattern(label: str) -> str:
     regex, ignore_case = rules.PII_PATTERNS[label]
     first = r"(?=[+(\p{Nd}])" if label == "PHONE" else ""
-    return ("(?iu)" if ignore_case else "") + first + java(regex)
+    return ("(?iU)" if ignore_case else "(?U)") + first + java(regex)
 
 
 def redact_profanity(c: Column) -> Column:
