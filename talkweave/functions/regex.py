@@ -13,7 +13,6 @@ WORD_END = f"(?![{WORD}])"  # after a word character
 # Most characters are printable ASCII, and one comparison rules those out.
 SPACES = r"(?U)(?=[^!-~])[\s\x1c-\x1f]+"
 
-
 _CLASSES = {
     r"\S": r"[\S&&[^\x1c-\x1f]]",
     r"\s": r"[\s\x1c-\x1f]",

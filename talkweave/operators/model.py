@@ -22,7 +22,9 @@ RAW = "chat_id string, stop_reason string, text string, error string, attempts i
 
 @dataclass(frozen=True)
 class CallOptions:
-    partitions: int = 200  # calls in flight = min(task slots, partitions) * threads
+    # Calls in flight = min(task slots, partitions) * threads. More partitions mean that
+    # a lost task repeats fewer calls.
+    partitions: int = 2000
     threads: int = 8
     attempts: int = rules.MAX_ATTEMPTS
     pause: float = 1.0  # seconds; doubled per attempt while throttled
@@ -70,7 +72,7 @@ def call_model(
 
     The answers are written once: a lost executor or a second reader must not call
     the model again. Calls are at least once, so chat_id should be the caller's
-    idempotency key.
+    idempotency key; leave spark.speculation off for this job.
     """
     spread = prompts.select("chat_id", "prompt").repartition(options.partitions, "chat_id")
     calls = partial(

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.test_redact import SEPARATORS, PIECES, sanitized
 from talkweave.operators import chats

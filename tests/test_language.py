@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from talkweave.functions import language as rule
 from talkweave.operators import language

@@ -1,4 +1,4 @@
-from talkweave.operators import language, model, offline
+from talkweave.operators import model, offline
 from talkweave.plans.chat_summary import chat_summary, chat_summary_by_model
 from talkweave.schema import SUMMARY_SCHEMA
 from tests.test_chats import make_turns
