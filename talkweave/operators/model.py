@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from talkweave import rules
 from talkweave.functions import response, text
-from talkweave.staging import materialise
+from talkweave.staging import materialise, ship_package
 
 # A client takes (prompt, **settings) and returns (stop_reason, text), or raises.
 Client = Callable[..., tuple[str, str]]
@@ -78,6 +78,7 @@ def call_model(
     calls = partial(
         _call_batches, client_factory=client_factory, settings=settings, options=options
     )
+    ship_package(prompts.sparkSession)
     return materialise(spread.mapInPandas(calls, RAW), "answers")
 
 

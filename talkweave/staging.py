@@ -1,8 +1,11 @@
-"""Intermediate tables in the shared folder of the cluster, and the spread of small inputs."""
+"""Intermediate tables in the shared folder of the cluster, the package on its workers, and the spread of small inputs."""
 
+import os
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,21 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="talkweave-")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver was started. Spark's file server hands it out."""
+    _ship_once(spark.sparkContext.applicationId, spark)
+
+
+@cache
+def _ship_once(application: str, spark: SparkSession) -> None:
+    package = Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="talkweave-"), "talkweave-package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
