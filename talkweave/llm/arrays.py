@@ -22,7 +22,7 @@ _U = np.uint64
 _MULTIPLIERS = (_U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93))
 
 
-def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``mapInArrow`` with this package on the workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import simhash_dedup
+from talkweave.llm import byte_bpe, simhash_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,5 +20,12 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = byte_bpe.encode(docs, *vocabulary, packed=True).select("doc_id", "ids")
+    return byte_bpe.digests(byte_bpe.decode(ids, *vocabulary))
+
+
 def queries() -> dict[str, Query]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
