@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import byte_bpe, simhash_dedup
+from talkweave.llm import byte_bpe, chat_format, simhash_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,5 +27,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(ids, *vocabulary))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return chat_format.digests(chat_format.format_conversations(turns))
+
+
 def queries() -> dict[str, Query]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}

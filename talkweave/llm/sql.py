@@ -1,5 +1,30 @@
 """DuckDB equivalents of the queries that SQL can express."""
 
+CHAT_FORMAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), measured AS (
+  SELECT *,
+    length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
+      + len(regexp_extract_all(text, '</?s>|\[/?INST\]|<</?SYS>>|\[OUT\]|\[/?ROLE\]|\[TEXT\]'))
+      + CASE role WHEN 'system' THEN 8 + 10 WHEN 'user' THEN 10 + 9 WHEN 'assistant' THEN 6 + 6 ELSE
+          7 + length(role) + length(regexp_replace(role, '[^\\]', '', 'g'))
+          + len(regexp_extract_all(role, '</?s>|\[/?INST\]|<</?SYS>>|\[OUT\]|\[/?ROLE\]|\[TEXT\]')) + 8 + 9 END AS chars,
+    lag(role, 1, 'start') OVER o AS before, lead(role) OVER o IS NULL AS is_last
+  FROM turns WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars,
+  bool_and((before || '>' || role) IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user')
+    AND (NOT is_last OR role = 'assistant')) AS valid
+FROM measured GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat_format": CHAT_FORMAT}
