@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import byte_bpe, chat_format, license_scan, simhash_dedup
+from talkweave.llm import byte_bpe, chat_format, license_scan, merkle, simhash_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,5 +38,9 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compared(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
