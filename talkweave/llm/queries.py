@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import byte_bpe, chat_format, license_scan, merkle, simhash_dedup
+from talkweave.llm import byte_bpe, chat_format, license_scan, merkle, simhash_dedup, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,5 +42,9 @@ def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compared(table(spark, sf_dir, "documents"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_values(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_values")
+
+
 def queries() -> dict[str, Query]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
