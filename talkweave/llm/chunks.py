@@ -111,6 +111,17 @@ def by_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
+def questions(chunk: int, keys: np.ndarray, more: Callable, buckets: int) -> pa.RecordBatch:
+    """A chunk's rows: sorted ``keys`` cut at the buckets, and ``more(lo, hi)`` as bytes about each cut."""
+    cuts = by_bucket(keys, buckets)
+    full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+    return pa.RecordBatch.from_arrays([
+        pa.array(full, pa.int32()), pa.array([chunk] * len(full), pa.int64()),
+        pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary()),
+        pa.array([more(cuts[b], cuts[b + 1]) for b in full], pa.binary()),
+    ], ["bucket", "chunk", "keys", "more"])
+
+
 def ask(chunks: DataFrame, question: Callable, buckets: int) -> DataFrame:
     """Rows of questions. ``question(chunk, answers)`` gives sorted uint64 keys and a function lo, hi -> bytes of more about them."""
 
@@ -118,13 +129,7 @@ def ask(chunks: DataFrame, question: Callable, buckets: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 keys, more = question(Chunk(row["chunk"], row), row.get("answers"))
-                cuts = by_bucket(keys, buckets)
-                full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(full, pa.int32()), pa.array([row["chunk"]] * len(full), pa.int64()),
-                    pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary()),
-                    pa.array([more(cuts[b], cuts[b + 1]) for b in full], pa.binary()),
-                ], ["bucket", "chunk", "keys", "more"])
+                yield questions(row["chunk"], keys, more, buckets)
 
     return map_batches(chunks, run, ASK_SCHEMA)
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import byte_bpe, chat_format, license_scan, merkle, simhash_dedup, substring_dedup, surrogates
+from talkweave.llm import byte_bpe, chat_format, katz, license_scan, merkle, simhash_dedup, substring_dedup, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,5 +51,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
