@@ -115,11 +115,6 @@ def _vocabulary(df: DataFrame, path: str):
     return lambda: SparkFiles.get(name)
 
 
-def _free(df: DataFrame, *names: str) -> None:
-    if taken := [c for c in df.columns if c.lower() in names]:
-        raise ValueError(f"these columns would be overwritten: {taken}")
-
-
 def encode(
     df: DataFrame, path: str, pattern: str, text_col: str = "text", offsets: bool = False, packed: bool = False
 ) -> DataFrame:
@@ -127,10 +122,10 @@ def encode(
 
     With ``offsets`` also ``starts`` and ``ends`` (array<int>, code points, end exclusive). Null texts count as empty and
     give no ids; repeated rows are kept; an empty table gives an empty result; a column named
-    like a new one raises ValueError. Text that spells a special token is ordinary text.
+    like a new one is replaced. Text that spells a special token is ordinary text.
     """
     new = ["ids", "starts", "ends"] if offsets else ["ids"]
-    _free(df, *new)
+    df = df.drop(*new)
     find = _vocabulary(df, path)
 
     def as_column(ids: list[bytes]) -> pa.Array:
@@ -159,11 +154,12 @@ def encode(
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """The columns of ``df`` and ``decoded`` (binary): the bytes behind ``ids_col``, packed or an array. Null ids give null.
+    """The columns of ``df`` and ``decoded`` (binary): the bytes behind ``ids_col``, packed or an array. Null ids give null; a column
+    of that name is replaced; an id outside the vocabulary fails the task.
 
     ``decoded.cast("string")`` is the text where the ids cover whole characters.
     """
-    _free(df, "decoded")
+    df = df.drop("decoded")
     find = _vocabulary(df, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

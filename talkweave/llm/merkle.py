@@ -119,9 +119,7 @@ def _leaf_counts(tree: str) -> Counter:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The columns of ``docs`` and ``fingerprint``; null counts as empty. A column of that name raises ValueError."""
-    if "fingerprint" in (c.lower() for c in docs.columns):
-        raise ValueError("docs has a column fingerprint")
+    """The columns of ``docs`` and ``fingerprint``; null counts as empty. A column of that name is replaced."""
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("string")

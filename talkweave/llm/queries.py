@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, merkle, simhash_dedup, substring_dedup, surrogates
+from talkweave.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, merkle, simhash_dedup, substring_dedup, surrogates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,5 +59,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}

@@ -192,6 +192,12 @@ def links(fps: DataFrame, radius: int = 4, partitions: int = 3) -> DataFrame:
     return index.join(probes, (index.key == probes.key) & (F.col("a") < F.col("b")) & (apart <= radius)).select("a", "b")
 
 
+def classes(nodes: DataFrame, radius: int, partitions: int) -> DataFrame:
+    """(fp, label) for the distinct fingerprints of ``nodes``: equal labels for fingerprints that links connect."""
+    found = components(links(nodes.select("fp"), radius, partitions))
+    return materialise(nodes.join(found, nodes.fp == found.node, "left").select("fp", F.coalesce("label", "fp").alias("label")), "labels")
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 4, radius: int = 4, partitions: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -204,8 +210,27 @@ def near_duplicates(
     """
     marked = materialise(simhash(docs, size, id_col, text_col), "fingerprints")
     nodes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    found = components(links(nodes.select("fp"), radius, partitions))
-    labelled = nodes.join(found, nodes.fp == found.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
-    labelled = materialise(labelled, "labels")
-    class_of = labelled.join(labelled.groupBy("label").agg(F.min("first").alias("component_id")), "label")
-    return marked.join(class_of.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    labelled = classes(nodes, radius, partitions).join(nodes, "fp")
+    first = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
+    class_of = labelled.join(first, "label").select("fp", "component_id")
+    return marked.join(class_of, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, size: int = 4, radius: int = 4, partitions: int = 3) -> DataFrame:
+    """``docs`` with one row of each near-duplicate class: the one with the smallest doc_id, null ids last.
+
+    Of rows with that doc_id one stays, also if they are equal in all columns. Texts without words make a class of
+    their own kind, fingerprint zero. All columns are kept as they are; an empty table gives an empty result.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    texts = rows.select("row", "doc.text")
+    marked = simhash(texts, size, "row").withColumnRenamed("doc_id", "row")
+    ids = rows.select("row", F.col("doc.doc_id").alias("id"))
+    place = F.struct(F.col("id").isNull(), "id", "row")
+    marked = materialise(marked.join(ids, "row").select("fp", "row", place.alias("place")), "fingerprints")
+    nodes = materialise(marked.groupBy("fp").agg(F.min("place").alias("first")), "nodes")
+    labelled = classes(nodes, radius, partitions).join(nodes, "fp")
+    kept = labelled.groupBy("label").agg(F.min("first").alias("first")).select("first.row")
+    dropped = materialise(marked.select("row").join(kept, "row", "left_anti"), "dropped")
+    return rows.join(dropped, "row", "left_anti").select("doc.*")

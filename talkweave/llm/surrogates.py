@@ -222,10 +222,21 @@ def replace_values(docs: DataFrame, key: str = "talkweave", text_col: str = "tex
     """The columns of ``docs`` with the values of ``text_col`` replaced, and ``n_values``.
 
     Null texts stay null and have no values; texts without values are unchanged; repeated rows stay;
-    an empty table gives an empty result. A column named n_values raises ValueError.
+    an empty table gives an empty result. A column named n_values is replaced.
     """
-    if "n_values" in (c.lower() for c in docs.columns):
-        raise ValueError("docs has a column n_values")
+    rows = _replaced(docs, key, text_col)
+    names = [c for c in docs.columns if c.lower() != "n_values"]
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "n_values")
+
+
+def without_values(docs: DataFrame, key: str = "talkweave", text_col: str = "text") -> DataFrame:
+    """``docs`` with the values of ``text_col`` replaced: its columns and no others, whatever their names."""
+    rows = _replaced(docs, key, text_col)
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _replaced(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """``row``, the columns of ``docs`` with replaced values, and n_values."""
     row = F.struct(*[docs[c] for c in docs.columns])
     text = F.col(f"row.`{text_col}`")
     rows = docs.select(row.alias("row")).withColumn("values", found(text))
@@ -252,9 +263,7 @@ def replace_values(docs: DataFrame, key: str = "talkweave", text_col: str = "tex
         rows.where(holding).withColumn("list", list_key).join(replacements, "list")
         .withColumn("between", between).withColumn("changed", merged)
     )
-    out = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    new = [F.col("changed").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     return (
-        changed.select(*new, F.size("values").cast("long").alias("n_values"))
-        .union(rows.where(~holding).select(*out, F.lit(0).cast("long").alias("n_values")))
+        changed.select(F.col("row").withField(f"`{text_col}`", F.col("changed")).alias("row"), F.size("values").cast("long").alias("n_values"))
+        .union(rows.where(~holding).select("row", F.lit(0).cast("long").alias("n_values")))
     )
