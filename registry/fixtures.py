@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkweave.sources.turns import pair_messages
-from talkweave.staging import spread
 
 ACRONYMS = ["API", "SLA", "KYC", "CRM"]
 
@@ -102,7 +101,7 @@ def turns(spark: SparkSession, sf: str) -> DataFrame:
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with personal data behind and a foreign script before the text."""
     doc = F.col("doc_id")
-    return spread(load(spark, sf, "documents")).select(
+    return load(spark, sf, "documents").select(
         "doc_id",
         F.concat("text", pick(doc % 16, DOCUMENT_SUFFIX)).alias("text"),
         F.concat(pick(doc % 12, DOCUMENT_PREFIX), F.col("text")).alias("scripted"),
@@ -211,6 +210,8 @@ def stub_client():
             raise RuntimeError(f"backend down {digest}")
         if digest[0] == "3":
             return "end_turn", "Blocked by content filters."
+        if digest[0] == "4":
+            return "end_turn", None
         mood = "Positive" if digest[1] < "6" else "Negative" if digest[1] < "c" else "Neutral"
         return "end_turn", f"SUMMARY: chat {digest}\nSENTIMENT: {mood}.\nKEYWORDS: one, {digest[:4]}"
 

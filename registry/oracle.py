@@ -212,7 +212,7 @@ def trigram_rows(source: str, keys: str, x: str, weight: str = "1") -> str:
 
 CODES = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in rules.LANGUAGE_CODES.items())
 PROFILES = f"""
-profile_counts AS ({trigram_rows("documents", "lang", "text")}),
+profile_counts AS ({trigram_rows("(SELECT * FROM documents WHERE doc_id % 2 = 0)", "lang", "text")}),
 profiles AS (
   SELECT CASE lang {CODES} END AS language, trigram, profile_rank FROM (
     SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, trigram) AS profile_rank
@@ -368,22 +368,28 @@ calls AS (
   SELECT chat_id, md5({lit(rules.PROMPT_TEMPLATE)} || safe_text) AS h,
     md5({lit(rules.FALLBACK_TEMPLATE)} || {simplify('safe_text')}) AS h2 FROM prompt_texts),
 second AS (
-  SELECT chat_id, CASE WHEN h[1] = '2' OR h[1] = '3' THEN 'CONTENT_FILTERED' WHEN h[1] IN ('0', '1') THEN ''
-      ELSE 'chat ' || h END AS summary,
-    CASE WHEN h[1] IN ('0', '1', '2', '3') THEN 'Neutral' ELSE {DIGEST_MOOD} END AS chat_sentiment,
+  SELECT chat_id, CASE WHEN h[1] IN ('0', '1', '2', '3', '4') THEN 'CONTENT_FILTERED' ELSE 'chat ' || h END AS summary,
+    CASE WHEN h[1] IN ('0', '1', '2', '3', '4') THEN 'Neutral' ELSE {DIGEST_MOOD} END AS chat_sentiment,
     '' AS keywords,
-    CASE WHEN h[1] IN ('2', '3') THEN 'CONTENT_FILTERED' ELSE 'OK' END AS status
+    CASE WHEN h[1] IN ('0', '1', '2', '3', '4') THEN 'CONTENT_FILTERED' ELSE 'OK' END AS status
   FROM (SELECT chat_id, h2 AS h FROM calls)),
 first AS (
-  SELECT chat_id, CASE WHEN h[1] = '2' THEN 'ERROR: backend down ' || h ELSE 'chat ' || h END AS summary,
-    CASE WHEN h[1] = '2' THEN 'ERROR' ELSE {DIGEST_MOOD} END AS chat_sentiment,
-    CASE WHEN h[1] = '2' THEN '' ELSE 'one, ' || left(h, 4) END AS keywords,
-    CASE WHEN h[1] = '2' THEN 'ERROR' ELSE 'OK' END AS status
+  SELECT chat_id, CASE h[1] WHEN '2' THEN 'ERROR: backend down ' || h WHEN '4' THEN 'ERROR: no text in the answer'
+      ELSE 'chat ' || h END AS summary,
+    CASE WHEN h[1] IN ('2', '4') THEN 'ERROR' ELSE {DIGEST_MOOD} END AS chat_sentiment,
+    CASE WHEN h[1] IN ('2', '4') THEN '' ELSE 'one, ' || left(h, 4) END AS keywords,
+    CASE WHEN h[1] IN ('2', '4') THEN 'ERROR' ELSE 'OK' END AS status
   FROM calls WHERE h[1] NOT IN ('0', '1', '3')),
 answers AS (
   SELECT * FROM first UNION ALL
   SELECT * FROM second WHERE chat_id IN (SELECT chat_id FROM calls WHERE h[1] IN ('0', '1', '3')))"""
 
+BY_MODEL = """
+SELECT chat_id, chat_date, summary, chat_sentiment, keywords, is_in_scope,
+  coalesce(acronym_count, 0) AS acronym_count, coalesce(acronyms_found, '') AS acronyms_found,
+  user_language, total_turns, '2026-02-01T00:00:00+00:00' AS summarized_at
+FROM facts JOIN answers USING (chat_id) LEFT JOIN chat_hits USING (chat_id) LEFT JOIN chat_languages USING (chat_id)"""
+
 STATUS = (
     "CASE WHEN starts_with(summary, 'ERROR') THEN 'ERROR' "
     "WHEN summary IN ('CONTENT_FILTERED', 'NO_CONTENT') THEN summary ELSE 'OK' END"
@@ -441,11 +447,12 @@ def oracle_sql() -> dict[str, str]:
             days AS (SELECT *, coalesce(try_strptime(regexp_extract(path, '(?:dt_|run-date_)(\\d{8})', 1),
                 '%Y%m%d')::DATE, DATE '2026-03-01')::VARCHAR AS run_date FROM paths)
             SELECT conv_id, turn, run_date, 'out/dt_' || run_date || '/' AS output_folder FROM days""",
-        "incremental_ingest": w(TURNS, FACTS) + """
-            SELECT chat_id, chat_date, 'turns: ' || total_turns AS summary, 'Neutral' AS chat_sentiment,
-              '' AS keywords, is_in_scope, 0 AS acronym_count, '' AS acronyms_found,
-              'English' AS user_language, total_turns, '2026-02-01T00:00:00+00:00' AS summarized_at
-            FROM facts""",
+        "incremental_ingest": w(TURNS, FACTS, HITS, LANGUAGES, MODEL) + BY_MODEL,
+        "run_pipeline": w(TURNS, FACTS, HITS, LANGUAGES, MODEL) + BY_MODEL + " WHERE total_turns >= 2",
+        "acronym_dim": """
+            SELECT DISTINCT acronym_shrt FROM (
+              SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS acronym_shrt FROM conversations)
+            WHERE regexp_full_match(acronym_shrt, '[A-Z][a-z]?')""",
         "drop_null_chat": turn + "SELECT chat_id, turn_id, turn_rank FROM turns WHERE response IS NOT NULL",
         "first_file_wins": turn + """
             SELECT chat_id, turn_id, source_file FROM (

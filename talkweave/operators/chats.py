@@ -7,15 +7,12 @@ from pyspark.sql import functions as F
 
 from talkweave import rules
 from talkweave.functions import redact, text
-from talkweave.operators.skew import HOT_ROWS, split_hot
 from talkweave.sources.acronyms import COLUMN as ACRONYM
 
 IN_ORDER = "turn_rank ASC NULLS LAST, turn_id ASC NULLS LAST"
 RANK_BLOCK = 1024
 # A redacted turn keeps at least " :\nUser: ", so this many turns fill any prompt.
 TURNS_PER_PROMPT = math.ceil(rules.PROMPT_CHARS / len(" :\nUser: ")) + 1
-SALTS = 64
-MAX_LISTED_ACRONYMS = 1000
 
 
 def turn_position(*ties: str) -> Column:
@@ -49,39 +46,32 @@ def chat_facts(flagged: DataFrame) -> DataFrame:
     )
 
 
-def chat_text(turns: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All turns of a chat as one text, in turn order, with a blank line between turns."""
+def chat_text(turns: DataFrame) -> DataFrame:
+    """All turns of a chat as one text, in turn order, with a blank line between turns.
+
+    Turns are joined in runs of RANK_BLOCK ranks first, so that no task sorts all turns of a long chat; turns
+    without a rank are one run, the last.
+    """
     line = text.format_turn(F.col("turn_rank"), F.col("question"), F.col("response"))
     lines = drop_null_chat(turns).select("chat_id", "turn_rank", "turn_id", line.alias("line"))
-    cold, hot = split_hot(lines, "chat_id", hot_rows)
     joined = F.expr(f"listagg(line, '\n\n') WITHIN GROUP (ORDER BY {IN_ORDER}, line)")
-    whole = cold.groupBy("chat_id").agg(joined.alias("chat_text"))
-    # A hot chat is joined in runs of turn ranks first, so no task sorts all its turns.
-    runs = hot.groupBy("chat_id", F.floor(F.col("turn_rank") / RANK_BLOCK).alias("run")).agg(
+    runs = lines.groupBy("chat_id", F.floor(F.col("turn_rank") / RANK_BLOCK).alias("run")).agg(
         joined.alias("part")
     )
-    hot_whole = runs.groupBy("chat_id").agg(
+    return runs.groupBy("chat_id").agg(
         F.expr("listagg(part, '\n\n') WITHIN GROUP (ORDER BY run ASC NULLS LAST)").alias("chat_text")
     )
-    return whole.unionByName(hot_whole)
 
 
 def turn_acronyms(turns: DataFrame, acronyms: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, acronyms): sorted distinct acronyms per key; keys without a hit are absent.
 
-    A dimension of at most MAX_LISTED_ACRONYMS becomes a set in the plan, so that only
-    hits leave the turn. A larger one is joined without a hint: broadcast if its
-    measured size allows, else shuffled with skewed tokens split by adaptive execution.
+    The dimension is joined without a hint: broadcast if its measured size allows, else
+    shuffled with skewed tokens split by adaptive execution.
     """
-    listed = [r[0] for r in acronyms.select(ACRONYM).limit(MAX_LISTED_ACRONYMS + 1).collect()]
     tokens = text.alphanumeric_tokens(F.col("question"), F.col("response"))
-    if len(listed) <= MAX_LISTED_ACRONYMS:
-        known = F.array_distinct(F.filter(tokens, lambda t: t.isin(listed)))
-        hits = turns.select(*keys, F.explode(known).alias(ACRONYM))
-    else:
-        hits = turns.select(*keys, F.explode(F.array_distinct(tokens)).alias(ACRONYM)).join(
-            acronyms, ACRONYM
-        )
+    said = turns.select(*keys, F.explode(F.array_distinct(tokens)).alias(ACRONYM))
+    hits = said.join(acronyms.select(ACRONYM).distinct(), ACRONYM)
     return hits.groupBy(*keys).agg(F.array_sort(F.collect_set(ACRONYM)).alias("acronyms"))
 
 
@@ -141,16 +131,14 @@ def _first_turns(pieces: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def prompt_text(
-    turns: DataFrame, order: str = "specific_first", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def prompt_text(turns: DataFrame, order: str = "specific_first") -> DataFrame:
     """(chat_id, safe_text): the redacted chat text, cut to the prompt length.
 
     Equal to redacting the joined text and cutting it, without building that text:
     no pattern but NAME can match across the border of two turns, and NAME (always
     last) reaches at most the word "Turn" that opens the next one. So each turn is
-    redacted alone with that word appended, and only turns that can reach the cut
-    are collected.
+    redacted alone with that word appended; only turns that can reach the cut are
+    collected (the limit on the window drops the rest before the shuffle), each cut where the prompt ends.
     """
     labels = rules.REDACTION_ORDERS[order]
     if labels[-1] != "NAME":
@@ -168,11 +156,9 @@ def prompt_text(
     pieces = drop_null_chat(turns).select(
         "chat_id", "turn_rank", "turn_id", F.substr(safe, F.lit(len(opening) + 1)).alias("body")
     )
-    cold, hot = split_hot(pieces, "chat_id", hot_rows)
-    salted = hot.withColumn("salt", F.pmod(F.xxhash64("turn_rank", "turn_id"), F.lit(SALTS)))
-    hot_first = _first_turns(_first_turns(salted, ["chat_id", "salt"]).drop("salt"), ["chat_id"])
-    kept = _first_turns(cold, ["chat_id"]).unionByName(hot_first)
-    inner = redact.redact(F.concat("body", F.lit(border)), "NAME")
+    kept = _first_turns(pieces, ["chat_id"])
+    # One character past the prompt still says that it is too long.
+    inner = F.left(redact.redact(F.concat("body", F.lit(border)), "NAME"), F.lit(rules.PROMPT_CHARS + 1))
     joined = (
         kept.withColumn("inner", inner)
         .groupBy("chat_id")

@@ -66,7 +66,7 @@ def ngram_language(texts: DataFrame, column: str, profiles: DataFrame, out: str)
     ranked = counted.withColumn("text_rank", F.row_number().over(by_count))
     closeness = PROFILE_SIZE - F.abs(F.col("text_rank") - F.col("profile_rank"))
     scored = (
-        ranked.join(F.broadcast(profiles), "trigram")
+        ranked.join(profiles, "trigram")
         .groupBy(*key, "language")
         .agg(F.sum(closeness).alias("score"))
     )

@@ -95,8 +95,10 @@ def enrich_with_model(
 ) -> DataFrame:
     """(chat_id, summary, chat_sentiment, keywords, status) from (chat_id, safe_text).
 
-    Blank chats never reach the model. Filtered ones get a second, simpler prompt.
+    Blank chats never reach the model. Filtered ones get a second, simpler prompt. A call that fails or
+    brings no text leaves an ERROR row. The texts are stored first, so they are made once.
     """
+    safe_texts = materialise(safe_texts.select("chat_id", "safe_text"), "safe-texts")
     blank = text.is_blank(F.col("safe_text"))
     content = safe_texts.filter(~blank)
     first = _with_status(
@@ -105,8 +107,9 @@ def enrich_with_model(
             client_factory, rules.FIRST_SETTINGS, options,
         )
     )
-    failed = F.col("status") == "ERROR"
-    message = F.concat(F.lit("ERROR: "), F.left("error", F.lit(rules.ERROR_CHARS)))
+    failed = F.col("status").isin("ERROR", "NO_CONTENT")
+    problem = F.coalesce("error", F.lit("no text in the answer"))
+    message = F.concat(F.lit("ERROR: "), F.left(problem, F.lit(rules.ERROR_CHARS)))
     parsed = response.parse_response(F.coalesce("text", F.lit("")))
     kept = first.filter(F.col("status") != "FILTERED").select(
         "chat_id",
@@ -126,13 +129,15 @@ def retry_filtered(
     client_factory: Callable[[], Client],
     options: CallOptions = CallOptions(),
 ) -> DataFrame:
-    """Second attempt with the fallback prompt; one call, no further retries."""
+    """Second attempt with the fallback prompt; one call, no further retries. Still filtered or failing is CONTENT_FILTERED."""
     once = CallOptions(options.partitions, options.threads, 1, 0.0)
-    answers = call_model(
-        filtered.select("chat_id", text.build_fallback_prompt(F.col("safe_text")).alias("prompt")),
-        client_factory, rules.FALLBACK_SETTINGS, once,
+    answers = _with_status(
+        call_model(
+            filtered.select("chat_id", text.build_fallback_prompt(F.col("safe_text")).alias("prompt")),
+            client_factory, rules.FALLBACK_SETTINGS, once,
+        )
     )
-    refused = F.col("text").isNull() | F.lower("text").contains("content filters")
+    refused = F.col("status") != "OK"
     parsed = response.parse_simple_response(F.coalesce("text", F.lit("")))
     return answers.select(
         "chat_id",

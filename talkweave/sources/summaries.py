@@ -8,8 +8,6 @@ from talkweave.schema import SUMMARY_SCHEMA, conform
 
 KEYS = ["chat_id", "chat_date"]
 MAX_RECORDS_PER_FILE = 1_000_000
-# Dates are listed in the plan to prune partitions; past this many, a join does it.
-MAX_LISTED_DATES = 1000
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
@@ -22,6 +20,11 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], SUMMARY_SCHEMA)
 
 
+def with_known_dates(rows: DataFrame) -> DataFrame:
+    """Empty dates as null, which is how the table's partitions give them back."""
+    return rows.withColumn("chat_date", F.nullif(F.col("chat_date"), F.lit("")))
+
+
 def write_summaries(
     summaries: DataFrame, path: str, max_records: int = MAX_RECORDS_PER_FILE
 ) -> None:
@@ -31,7 +34,7 @@ def write_summaries(
     merges small dates into few files and splits a large date over many tasks.
     """
     (
-        conform(summaries, SUMMARY_SCHEMA)
+        with_known_dates(conform(summaries, SUMMARY_SCHEMA))
         .hint("rebalance", "chat_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -48,34 +51,58 @@ def newest_per_key(staged: DataFrame) -> DataFrame:
     return conform(staged.groupBy(*KEYS).agg(newest).select(*KEYS, "newest.*"), SUMMARY_SCHEMA)
 
 
-def merged(target: DataFrame, staged: DataFrame) -> DataFrame:
-    """Target rows without a staged row of the same key, plus the staged rows.
+def merged(target: DataFrame, staged: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Target rows whose key is not among ``keys`` (those of ``staged``), plus the staged rows.
 
     Null dates are keys like any other, which keeps a repeated merge idempotent.
     """
-    fresh = newest_per_key(staged)
-    keys = fresh.select(*[F.col(k).alias(f"staged_{k}") for k in KEYS])
+    fresh = newest_per_key(with_known_dates(staged))
+    gone = (fresh if keys is None else keys).select(*[F.col(k).alias(f"staged_{k}") for k in KEYS])
     same = [F.col(k).eqNullSafe(F.col(f"staged_{k}")) for k in KEYS]
-    return target.join(keys, same, "left_anti").unionByName(fresh)
+    return target.join(gone, same, "left_anti").unionByName(fresh)
 
 
-def merge_summaries(spark: SparkSession, path: str, staged: DataFrame) -> int:
-    """Merge ``staged`` into the table at ``path``; returns the rows of the table.
+def merge_summaries(
+    spark: SparkSession, path: str, staged: DataFrame, replaced: DataFrame | None = None
+) -> None:
+    """Merge ``staged`` into the table at ``path``.
 
-    Only the touched dates are read and rewritten. ``staged`` should be a stored
-    table, since it is read several times. One writer at a time.
+    ``replaced`` (chat_id, chat_date) names further rows that go. Only the touched dates are read and rewritten: their
+    range prunes partitions, a join picks the dates in it. ``staged`` and ``replaced`` should be stored
+    tables, since they are read several times. One writer at a time.
     """
-    target = read_summaries(spark, path)
-    dates = staged.select("chat_date").distinct()
-    listed = [r.chat_date for r in dates.limit(MAX_LISTED_DATES + 1).collect()]
-    if len(listed) <= MAX_LISTED_DATES:
-        in_dates = F.col("chat_date").isin([d for d in listed if d is not None])
-        touched = target.filter(in_dates | (F.lit(None in listed) & F.col("chat_date").isNull()))
-    else:
-        days = dates.withColumnRenamed("chat_date", "day")
-        touched = target.join(days, F.col("chat_date").eqNullSafe(F.col("day")), "left_semi")
-    write_summaries(merged(touched, staged), path)
-    return read_summaries(spark, path).count()
+    staged = with_known_dates(staged)
+    keys = staged.select(*KEYS)
+    if replaced is not None:
+        keys = keys.union(with_known_dates(replaced).select(*KEYS))
+    date = F.col("chat_date")
+    bounds = keys.agg(F.min(date).alias("low"), F.max(date).alias("high"), F.bool_or(date.isNull()).alias("nulls")).first()
+    in_range = date.between(bounds.low, bounds.high) | (date.isNull() & F.lit(bool(bounds.nulls)))
+    days = keys.select(date.alias("day")).distinct()
+    target = read_summaries(spark, path).filter(in_range)
+    touched = target.join(days, date.eqNullSafe(F.col("day")), "left_semi")
+    result = merged(touched, staged, keys)
+    emptied = [] if replaced is None else _emptied_days(touched, result)
+    write_summaries(result, path)
+    _drop_days(spark, path, emptied)
+
+
+def _emptied_days(before: DataFrame, after: DataFrame) -> list[str | None]:
+    """Days that lose all their rows: a number of partitions, not of rows."""
+    left = after.select(F.col("chat_date").alias("day")).distinct()
+    gone = before.select("chat_date").distinct().join(left, F.col("chat_date").eqNullSafe(F.col("day")), "left_anti")
+    return [r.chat_date for r in gone.collect()]
+
+
+def _drop_days(spark: SparkSession, path: str, days: list[str | None]) -> None:
+    """Take out the folders of days without rows, which a dynamic overwrite leaves as they are."""
+    jvm = spark.sparkContext._jvm
+    for day in days:
+        name = "__HIVE_DEFAULT_PARTITION__" if day is None else (
+            jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(day)
+        )
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/chat_date={name}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def summary_sample(summaries: DataFrame, n: int = 5) -> DataFrame:

@@ -3,10 +3,10 @@
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talkweave.operators.skew import HOT_ROWS, split_hot
 from talkweave.schema import CHAT_DOCUMENT_SCHEMA, TURN_SCHEMA, conform
 
 BLOCK = 4096
+POSITION = ["turn", "role", "text"]
 
 
 def scan_turns(spark: SparkSession, path: str) -> DataFrame:
@@ -55,25 +55,36 @@ def explode_chats(documents: DataFrame) -> DataFrame:
     return conform(flat, TURN_SCHEMA)
 
 
-def pair_messages(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def pair_messages(messages: DataFrame) -> DataFrame:
     """Question/response pairs from single messages (conv_id, turn, role, text).
 
     Each user message opens a turn, ranked from 1; the next message answers it if
-    it is the assistant's. System messages are ignored.
+    it is the assistant's. System messages are ignored; messages at one position follow role and text.
+
+    Runs of turn numbers are paired on their own, so no task holds a long conversation; one row per block then
+    carries what crosses its border: the next block's first message and the number of user messages before it.
+    A block is BLOCK turn numbers wide, wider where a conversation's numbers have gaps, and holds
+    about BLOCK messages of evenly spread ones.
     """
     said = messages.filter(F.col("conv_id").isNotNull() & (F.col("role") != "system")).select(
         "conv_id", "turn", "role", "text"
     )
-    cold, hot = split_hot(said, "conv_id", hot_rows)
-    return _pairs(cold).unionByName(_pairs_in_blocks(hot))
+    turn = F.col("turn").cast("double")
+    spans = said.groupBy("conv_id").agg(
+        F.min(turn).alias("begin"), (F.max(turn) - F.min(turn) + 1).alias("span"), F.count(F.lit(1)).alias("n")
+    )
+    width = F.greatest(F.col("span") / F.ceil(F.col("n") / BLOCK), F.lit(float(BLOCK)))
+    block = F.coalesce(F.floor((turn - F.col("begin")) / width), F.lit(-1))
+    blocked = said.join(spans, "conv_id").select("conv_id", block.alias("block"), "turn", "role", "text")
+    return _pairs_in_blocks(blocked)
 
 
 def _next_message(keys: list[str]) -> Column:
-    return F.lead(F.struct("role", "text")).over(Window.partitionBy(*keys).orderBy("turn", "role"))
+    return F.lead(F.struct("role", "text")).over(Window.partitionBy(*keys).orderBy(*POSITION))
 
 
 def _users_so_far(keys: list[str]) -> Column:
-    running = Window.partitionBy(*keys).orderBy("turn", "role")
+    running = Window.partitionBy(*keys).orderBy(*POSITION)
     return F.count(F.when(F.col("role") == "user", 1)).over(
         running.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -86,21 +97,7 @@ def _to_pairs(df: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(said: DataFrame) -> DataFrame:
-    keys = ["conv_id"]
-    return _to_pairs(
-        said.withColumn("next", _next_message(keys)).withColumn("turn_rank", _users_so_far(keys))
-    )
-
-
-def _pairs_in_blocks(said: DataFrame) -> DataFrame:
-    """The same for conversations too long for one task.
-
-    Runs of BLOCK turn numbers are paired on their own; one row per block then
-    carries what crosses its border: the next block's first message and the number
-    of user messages before it.
-    """
-    blocked = said.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-1)))
+def _pairs_in_blocks(blocked: DataFrame) -> DataFrame:
     keys = ["conv_id", "block"]
     inside = blocked.withColumn("next", _next_message(keys)).withColumn(
         "turn_rank", _users_so_far(keys)
@@ -109,7 +106,7 @@ def _pairs_in_blocks(said: DataFrame) -> DataFrame:
     borders = (
         blocked.groupBy(*keys)
         .agg(
-            F.min_by(F.struct("role", "text"), F.struct("turn", "role")).alias("opening"),
+            F.min_by(F.struct("role", "text"), F.struct(*POSITION)).alias("opening"),
             F.count(F.when(F.col("role") == "user", 1)).alias("users"),
         )
         .select(

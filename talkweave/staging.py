@@ -1,4 +1,4 @@
-"""Intermediate tables in the shared folder of the cluster, the package on its workers, and the spread of small inputs."""
+"""Intermediate tables in the shared folder of the cluster, and the package on its workers."""
 
 import os
 import tempfile
@@ -53,13 +53,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than there are cores.
-
-    For CPU-heavy expressions over little data. Larger scans are returned as they
-    are, without a shuffle.
-    """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan

@@ -36,21 +36,21 @@ def joined_text(rows):
     return {chat: "\n\n".join(lines) for chat, lines in texts.items()}
 
 
-@pytest.mark.parametrize("hot_rows", [100_000, 2])
-def test_chat_text(spark, hot_rows):
+@pytest.mark.parametrize("block", [1024, 2])
+def test_chat_text(spark, monkeypatch, block):
+    monkeypatch.setattr(chats, "RANK_BLOCK", block)
     rows = random_turns(5) + [("long", f"t{i}", i, "q", "r", None) for i in range(1, 3000)]
-    got = chats.chat_text(make_turns(spark, rows), hot_rows)
+    got = chats.chat_text(make_turns(spark, rows))
     assert {r.chat_id: r.chat_text for r in got.collect()} == joined_text(rows)
 
 
 @pytest.mark.parametrize("order", ["specific_first", "shipped"])
-@pytest.mark.parametrize("hot_rows", [100_000, 3])
-def test_prompt_text_equals_redacting_the_whole(spark, order, hot_rows):
+def test_prompt_text_equals_redacting_the_whole(spark, order):
     rows = random_turns(6)
     rows += [("wordy", f"t{i}", i, "Ask Dr", "Jane x@y.com " * 40, None) for i in range(1, 60)]
     rows += [("terse", f"t{i}", i, "", "", None) for i in range(1, 1500)]
     rows += [("far", f"t{i}", i, "a", None, None) for i in (999_999, 1_000_000, 12_345_678, 10**15)]
-    got = chats.prompt_text(make_turns(spark, rows), order, hot_rows)
+    got = chats.prompt_text(make_turns(spark, rows), order)
     expected = {c: sanitized(t, order)[:8000] for c, t in joined_text(rows).items()}
     assert {r.chat_id: r.safe_text for r in got.collect()} == expected
 
@@ -75,9 +75,7 @@ def test_facts_and_order(spark):
     assert texts["b"] == "Turn 1:\nUser: \nBot: fine"
 
 
-@pytest.mark.parametrize("listed", [1000, 1])
-def test_acronyms(spark, monkeypatch, listed):
-    monkeypatch.setattr(chats, "MAX_LISTED_ACRONYMS", listed)
+def test_acronyms(spark):
     dim = spark.createDataFrame([("API",), ("SLA",), ("NA",)], "acronym_shrt string")
     rows = [
         ("a", "t1", 1, "the API, or api-SLA?", "APIs", None),
@@ -131,8 +129,8 @@ def paired(rows):
     return sorted(expected)
 
 
-@pytest.mark.parametrize("hot_rows, block", [(100_000, 4096), (3, 4), (3, 1)])
-def test_pair_messages(spark, monkeypatch, hot_rows, block):
+@pytest.mark.parametrize("block", [4096, 4, 1])
+def test_pair_messages(spark, monkeypatch, block):
     monkeypatch.setattr(source, "BLOCK", block)
     rng = random.Random(8)
     rows = []
@@ -142,7 +140,7 @@ def test_pair_messages(spark, monkeypatch, hot_rows, block):
             turn += rng.choice([1, 1, 1, 3, 9])
             rows.append((conv, turn, rng.choice(["user", "assistant", "system", "user"]), f"m{conv}.{turn}"))
     rng.shuffle(rows)
-    got = source.pair_messages(spark.createDataFrame(rows, MESSAGES), hot_rows)
+    got = source.pair_messages(spark.createDataFrame(rows, MESSAGES))
     assert sorted(tuple(r) for r in got.collect()) == paired(rows)
 
 

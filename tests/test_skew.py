@@ -1,46 +1,61 @@
-"""Hot keys: same results, and no cost in the plan when there are none."""
+"""One plan for every size: a chat of half of all rows gives the same results."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from talkweave import staging
 from talkweave.operators import chats
-from talkweave.operators.skew import keep_keys, split_hot
+from talkweave.sources import turns as source
 from tests.test_chats import make_turns, random_turns
 
 
-def numbers(spark):
-    return spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-
-
-def test_split(spark):
-    cold, hot = split_hot(numbers(spark), "k", 100)
-    assert hot.count() == 400 and cold.count() == 600
-    cold, hot = split_hot(numbers(spark), "k", 400)
-    assert hot.count() == 0 and cold.count() == 1000
-
-
-@pytest.mark.parametrize("hot_rows", [100, 100_000])
-def test_keep_keys(spark, hot_rows):
-    keys = spark.createDataFrame([("hot",), ("500",), ("500",), ("none",)], "k string")
-    assert keep_keys(numbers(spark), keys, "k", hot_rows).count() == 401
-    assert keep_keys(numbers(spark), keys.filter("k <> 'hot'"), "k", hot_rows).count() == 1
-
-
-def test_no_hot_branch_in_final_plan(spark):
-    turns = staging.materialise(make_turns(spark, random_turns(1)), "turns")
-    texts = chats.chat_text(turns)
-    texts.collect()
-    final = texts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # One scan for the texts and one for the key counts is left, and one shuffle of texts.
-    assert "Union" not in final
-    assert final.count("Exchange hashpartitioning") == 1
-
-
-def test_whole_tables_are_not_shuffled_to_spread(spark, tmp_path):
-    big = spark.range(0, 100, 1, 64)
-    assert staging.spread(big) is big
-    assert staging.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() > 1
+def one_large(spark):
+    rows = random_turns(3)
+    large = [("large", f"t{i:05d}", i, f"question {i}", f"answer {i}", "2026-01-01") for i in range(1, len(rows) + 3000)]
+    return rows, large, make_turns(spark, rows + large)
+
+
+def test_large_chat(spark):
+    rows, large, turns = one_large(spark)
+    texts = {r.chat_id: r.chat_text for r in chats.chat_text(turns).collect()}
+    assert texts["large"] == "\n\n".join(f"Turn {i}:\nUser: question {i}\nBot: answer {i}" for i in range(1, len(large) + 1))
+    alone = {r.chat_id: r.chat_text for r in chats.chat_text(make_turns(spark, rows)).collect()}
+    assert {k: v for k, v in texts.items() if k != "large"} == alone
+    prompts = {r.chat_id: r.safe_text for r in chats.prompt_text(turns).collect()}
+    assert prompts["large"].startswith("Turn 1:") and len(prompts["large"]) <= 8100
+
+
+@pytest.mark.parametrize("gap", [1, 86_400])
+def test_large_conversation_in_blocks(spark, monkeypatch, gap):
+    monkeypatch.setattr(source, "BLOCK", 50)
+    n = 1000
+    said = [(1, i * gap, "user" if i % 2 == 0 else "assistant", f"m{i}") for i in range(n)]
+    said += [(c, i, "user", f"c{c} {i}") for c in range(2, 300) for i in range(3)]
+    pairs = source.pair_messages(spark.createDataFrame(said, "conv_id long, turn long, role string, text string"))
+    got = {(r.conv_id, r.turn_rank): (r.question, r.response) for r in pairs.collect()}
+    assert len(got) == n // 2 + 298 * 3
+    assert all(got[1, i + 1] == (f"m{2 * i}", f"m{2 * i + 1}") for i in range(n // 2))
+
+
+def test_order_of_arrival_does_not_matter(spark):
+    said = [(1, 0, "user", "q"), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, 2, "user", "r")]
+    schema = "conv_id long, turn long, role string, text string"
+    one, other = (
+        sorted(map(tuple, source.pair_messages(spark.createDataFrame(rows, schema).coalesce(1)).collect()))
+        for rows in (said, said[::-1])
+    )
+    assert one == other == [(1, 1, "q", "a"), (1, 2, "r", None)]
+
+
+def test_scans_of_the_initial_plan(spark, tmp_path):
+    said = spark.createDataFrame([(1, 0, "user", "q")], "conv_id long, turn long, role string, text string")
+    said.write.parquet(str(tmp_path / "said"))
+    pairs = source.pair_messages(spark.read.parquet(str(tmp_path / "said")))
+    turns = pairs.select(
+        F.col("conv_id").cast("string").alias("chat_id"), F.lit("t").alias("turn_id"), "turn_rank", "question", "response"
+    )
+    plan = chats.chat_text(turns)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") <= 4
 
 
 def test_shared_dir():

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from talkweave.plans.quality import acronym_report
@@ -20,7 +21,8 @@ def test_acronym_dim(spark, tmp_path):
 def test_acronym_dim_missing(spark, tmp_path):
     assert acronym_dim(spark, str(tmp_path / "none.csv")).count() == 0
     (tmp_path / "other.csv").write_text("name\nAPI\n")
-    assert acronym_dim(spark, str(tmp_path / "other.csv")).count() == 0
+    with pytest.raises(AnalysisException):
+        acronym_dim(spark, str(tmp_path / "other.csv"))
 
 
 def test_scan_turns_skips_and_prunes(spark, tmp_path):

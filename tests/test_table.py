@@ -27,7 +27,8 @@ def test_merge(spark, tmp_path):
     old = [("a", "2026-01-01", "old", "1"), ("b", "2026-01-02", "old", "1"), ("c", "2026-01-03", "old", "1"),
            ("n", None, "old", "1"), ("m", None, "old", "1")]
     assert table.read_summaries(spark, path).count() == 0
-    assert table.merge_summaries(spark, path, summaries(spark, old)) == 5
+    table.merge_summaries(spark, path, summaries(spark, old))
+    assert table.read_summaries(spark, path).count() == 5
     staged = summaries(
         spark,
         [("a", "2026-01-01", "new", "3"), ("a", "2026-01-01", "stale", "2"), ("a", "2026-01-04", "new", "3"),
@@ -36,20 +37,31 @@ def test_merge(spark, tmp_path):
     expected = [("a", "2026-01-01", "new"), ("a", "2026-01-04", "new"), ("b", "2026-01-02", "old"),
                 ("c", "2026-01-03", "old"), ("m", "", "old"), ("n", "", "new")]
     for _ in range(2):  # a repeated merge changes nothing
-        assert table.merge_summaries(spark, path, staged) == 6
+        table.merge_summaries(spark, path, staged)
         assert stored(spark, path) == expected
 
 
-def test_merge_with_many_dates(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(table, "MAX_LISTED_DATES", 1)
+def test_merge_with_empty_dates(spark, tmp_path):
     path = str(tmp_path / "t")
-    old = [("a", "2026-01-01", "old", "1"), ("b", "2026-01-02", "old", "1"), ("n", None, "old", "1")]
+    old = [("a", "", "old", "1"), ("b", None, "old", "1"), ("c", "", "old", "1"), ("d", "2026-01-02", "old", "1")]
     table.merge_summaries(spark, path, summaries(spark, old))
-    new = [("a", "2026-01-01", "new", "2"), ("n", None, "new", "2"), ("x", "2026-01-02", "new", "2")]
-    table.merge_summaries(spark, path, summaries(spark, new))
-    assert stored(spark, path) == [
-        ("a", "2026-01-01", "new"), ("b", "2026-01-02", "old"), ("n", "", "new"), ("x", "2026-01-02", "new"),
-    ]
+    new = [("b", "", "new", "2"), ("e", "", "stale", "1"), ("e", None, "new", "2"), ("x", "2026-01-02", "new", "2")]
+    for _ in range(2):
+        table.merge_summaries(spark, path, summaries(spark, new))
+        assert stored(spark, path) == [
+            ("a", "", "old"), ("b", "", "new"), ("c", "", "old"), ("d", "2026-01-02", "old"), ("e", "", "new"),
+            ("x", "2026-01-02", "new"),
+        ]
+
+
+def test_merge_moves_a_chat(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table.merge_summaries(spark, path, summaries(spark, [("a", "2026-01-05", "old", "1"), ("b", "2026-01-06", "old", "1")]))
+    staged = summaries(spark, [("a", "2026-01-01", "new", "2")])
+    earlier = spark.createDataFrame([("a", "2026-01-05"), ("a", "2026-01-01")], "chat_id string, chat_date string")
+    for _ in range(2):
+        table.merge_summaries(spark, path, staged, earlier)
+        assert stored(spark, path) == [("a", "2026-01-01", "new"), ("b", "2026-01-06", "old")]
 
 
 def test_merge_reads_touched_dates_only(spark, tmp_path):
@@ -120,3 +132,23 @@ def test_incremental_equals_batch(spark):
     drops = [make_turns(spark, rows[:half]), make_turns(spark, rows[half:])]
     got = sorted(map(tuple, run_ingest(spark, drops).collect()))
     assert got == sorted(map(tuple, count_summary(make_turns(spark, rows)).collect()))
+
+
+def test_late_first_day_and_new_checkpoint(spark, tmp_path):
+    turn = lambda rank, day: ("c", f"t{rank}", rank, "q", "r", day)
+    drops = [[turn(2, "2026-01-02"), turn(3, "2026-01-02")], [turn(1, "2026-01-01")]]
+    rows = run_ingest(spark, [make_turns(spark, d) for d in drops]).collect()  # ends with a new checkpoint
+    assert [(r.chat_date, r.total_turns) for r in rows] == [("2026-01-01", 3)]
+
+
+def test_ingest_reads_touched_buckets_only(spark, tmp_path):
+    from talkweave.streaming import ingest
+
+    turns = make_turns(spark, [(f"c{i}", "t", 1, "q", "r", "2026-01-01") for i in range(400)])
+    bucketed = turns.withColumns({
+        "source_file": F.lit("f"), "run": F.lit("r"), "batch_id": F.lit(0), "bucket": F.pmod(F.xxhash64("chat_id"), F.lit(ingest.BUCKETS)),
+    })
+    bucketed.write.partitionBy("bucket", "run", "batch_id").parquet(str(tmp_path / "store"))
+    rows = ingest.stored_turns(spark, str(tmp_path / "store"), [3, 5])
+    assert {r.bucket for r in rows.select("bucket").distinct().collect()} <= {3, 5}
+    assert len(rows.inputFiles()) < 20 or "PartitionFilters: [bucket" in rows._jdf.queryExecution().executedPlan().toString()
