@@ -67,9 +67,10 @@ def _part(kind: Column | str | None, raw: Column, norm: Column | None = None) ->
     return F.struct(kind.alias("kind"), raw.alias("raw"), (norm if norm is not None else raw).alias("norm"))
 
 
-def _parts(value: Column) -> Column:
-    """A value as parts that are kept (kind null) or replaced, which together spell it."""
-    kind, digits = _kind(value), F.regexp_replace(value, "[^0-9]", "")
+def _parts(found: Column) -> Column:
+    """A value with its kind, as parts that are kept (kind null) or replaced, which together spell it."""
+    kind, value = found["kind"], found["value"]
+    digits = F.regexp_replace(value, "[^0-9]", "")
     prefix = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[^0-9])", 0)
     rest = F.substr(value, F.length(prefix) + 1)
     lead = F.regexp_extract(value, r"^\w+\s?[=:]\s?[\"']?", 0)
@@ -97,7 +98,8 @@ def found(text: Column) -> Column:
     """All values of a text in order, each as its parts."""
     values = F.regexp_extract_all(text, F.lit("(" + ANY.replace(r"\1", r"\2") + ")"), F.lit(1))
     none = F.lit(None).cast("array<string>")
-    return F.transform(F.coalesce(F.when(F.regexp_like(text, F.lit(MAY_HOLD)), values).otherwise(none), F.array().cast("array<string>")), _parts)
+    held = F.coalesce(F.when(F.regexp_like(text, F.lit(MAY_HOLD)), values).otherwise(none), F.array().cast("array<string>"))
+    return F.transform(F.transform(held, lambda v: F.struct(_kind(v).alias("kind"), v.alias("value"))), _parts)
 
 
 def _draw(seed: Column, at: Column | int, below: int) -> Column:
