@@ -1,6 +1,7 @@
 """The registered queries: one per operator, over the whole given tables."""
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,7 +164,12 @@ def on_scripted(out: str, make) -> Query:
 
 
 def profiles(spark, sf):
-    """Even ids train; all documents are scored, so half of them were not seen."""
+    """Even ids train; all documents are scored, so half of them were not seen. Trained once per session and input."""
+    return trained(spark.sparkContext.applicationId, spark, sf)
+
+
+@cache
+def trained(application, spark, sf):
     return materialise(
         language.train_profiles(fx.load(spark, sf, "documents").filter("doc_id % 2 = 0")), "profiles"
     )
