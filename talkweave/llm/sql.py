@@ -25,6 +25,24 @@ SELECT conv_id, count(*) AS n_turns,
 FROM measured GROUP BY conv_id
 """
 
+SUBSTRING_DEDUP = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(words[s:s + 19], ' ') AS said
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM split WHERE len(words) >= 20)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS k
+  FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY said ORDER BY doc_id, s) AS nth FROM windows) WHERE nth > 1
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS said, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k FROM split) ANTI JOIN gone USING (doc_id, k)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(said, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_format": CHAT_FORMAT}
+    return {"op7_substring_dedup": SUBSTRING_DEDUP, "op8_chat_format": CHAT_FORMAT}
