@@ -122,14 +122,20 @@ def questions(chunk: int, keys: np.ndarray, more: Callable, buckets: int) -> pa.
     ], ["bucket", "chunk", "keys", "more"])
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Chunks one at a time: one chunk's arrays and answers are in Python's memory at once."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def ask(chunks: DataFrame, question: Callable, buckets: int) -> DataFrame:
     """Rows of questions. ``question(chunk, answers)`` gives sorted uint64 keys and a function lo, hi -> bytes of more about them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, more = question(Chunk(row["chunk"], row), row.get("answers"))
-                yield questions(row["chunk"], keys, more, buckets)
+        for row in rows_of(batches):
+            keys, more = question(Chunk(row["chunk"], row), row.get("answers"))
+            yield questions(row["chunk"], keys, more, buckets)
 
     return map_batches(chunks, run, ASK_SCHEMA)
 

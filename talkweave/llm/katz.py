@@ -23,7 +23,7 @@ from talkweave.staging import materialise
 WORDS = arrays.byte_class(arrays.SPACES, lower=True)
 END, BEGIN = np.uint64(0x0E0D0E0D0E0D0E0D), np.uint64(0x0B0E0B0E0B0E0B0E)
 CUT = 5
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 
 def is_training(doc_id: int | None, folds: int = 10) -> bool:
@@ -88,18 +88,27 @@ class Tokens:
         self.history = np.empty_like(self.token)
         self.history[1:] = self.token[:-1]
         self.history[ends - per_doc] = BEGIN
-        self.doc = np.repeat(np.arange(n), per_doc + 1)
+        self.doc = np.repeat(np.arange(n, dtype=np.int32), per_doc + 1)
         self.n = per_doc + 1
         ids = chunk.ids
         self.trains = np.array([is_training(None if i == chunks.NO_ID else i) for i in ids.tolist()], bool).reshape(n)
         self.in_training = self.trains[self.doc]
-        self.words, self.word_of = np.unique(self.token, return_inverse=True)
+        self.words, self.word_of = _distinct(self.token)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pair hashes, an example token of each, and the pair of each token."""
         with np.errstate(over="ignore"):
             key = arrays.mix(arrays.mix(self.history) * np.uint64(0xD6E8FEB86659FD93) + self.token)
-        return np.unique(key, return_index=True, return_inverse=True)
+        keys, pair_of = _distinct(key)
+        example = np.empty(len(keys), np.int32)
+        example[pair_of] = np.arange(len(pair_of), dtype=np.int32)
+        return keys, example, pair_of
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and, in 32 bits, the place of each value among them."""
+    out = np.unique(values)
+    return out, np.searchsorted(out, values).astype(np.int32)
 
 
 def _reply_counts(_, keys: list[np.ndarray], mores: list[bytes]) -> list[bytes]:
@@ -174,7 +183,7 @@ class Model:
 
 def _histories(t: Tokens, model: Model, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct histories, their training counts, and the history of each token."""
-    distinct, of_token = np.unique(t.history, return_inverse=True)
+    distinct, of_token = _distinct(t.history)
     n = np.full(len(distinct), model.documents, np.int64)
     words = distinct != BEGIN
     n[words] = counts[np.searchsorted(t.words, distinct[words])]
@@ -251,19 +260,17 @@ def scores(docs: DataFrame) -> DataFrame:
     with_pairs = chunks.answered(with_words, pairs).withColumnRenamed("answers", "pairs")
 
     def ask_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, more = _sums(Tokens(chunks.Chunk(row["chunk"], row)), model, row["words"], row["pairs"])
-                yield chunks.questions(row["chunk"], keys, more, word_buckets)
+        for row in chunks.rows_of(batches):
+            keys, more = _sums(Tokens(chunks.Chunk(row["chunk"], row)), model, row["words"], row["pairs"])
+            yield chunks.questions(row["chunk"], keys, more, word_buckets)
 
     sums = arrays.map_batches(with_pairs, ask_sums, chunks.ASK_SCHEMA)
     weights = materialise(chunks.answer(sums, _reply_sums), "weights")
     complete = chunks.answered(with_pairs, weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield _score(chunks.Chunk(row["chunk"], row), model, row["words"], row["pairs"], row["answers"])
+        for row in chunks.rows_of(batches):
+            yield _score(chunks.Chunk(row["chunk"], row), model, row["words"], row["pairs"], row["answers"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return arrays.map_batches(complete, run, schema)

@@ -189,9 +189,8 @@ def remove_duplicates(docs: DataFrame, size: int = 20, anchor: int = 8) -> DataF
     both = chunks.answered(chunks.answered(stored, anchored).withColumnRenamed("answers", "repeated"), listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield from _kept(_Parts(chunks.Chunk(row["chunk"], row), size, anchor), row["repeated"], row["answers"], size)
+        for row in chunks.rows_of(batches):
+            yield from _kept(_Parts(chunks.Chunk(row["chunk"], row), size, anchor), row["repeated"], row["answers"], size)
 
     return arrays.map_batches(both, run, OUT_SCHEMA)
 
