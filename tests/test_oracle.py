@@ -1,9 +1,10 @@
-"""Every registered query against its SQL equivalent, and proof that fixtures hit the rules."""
+"""Every registered query of the library against its SQL equivalent, and proof that fixtures hit the rules."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as app
+from registry import oracle, queries
 from talkweave import rules
 
 SF = "/root/testdata/sf0.001"
@@ -29,14 +30,14 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(app.queries()) == set(app.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(app.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query(spark, duck, name):
-    frame = app.queries()[name](spark, SF)
+    frame = queries.queries()[name](spark, SF)
     got = canonical(frame.columns, [tuple(r) for r in frame.collect()])
-    cursor = duck.execute(app.oracle_sql()[name])
+    cursor = duck.execute(oracle.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(frame.columns) == sorted(columns)
     assert got == canonical(columns, cursor.fetchall())
@@ -47,13 +48,13 @@ def test_query(spark, duck, name):
 def test_redaction_fixture_hits(duck, label):
     name = "redact_profanity" if label == "REDACTED" else f"redact_{label.lower()}"
     hits = duck.execute(
-        f"SELECT count(*) FROM ({app.oracle_sql()[name]}) WHERE contains(safe_text, '[{label}]')"
+        f"SELECT count(*) FROM ({oracle.oracle_sql()[name]}) WHERE contains(safe_text, '[{label}]')"
     ).fetchone()[0]
     assert hits > 0
 
 
 def test_language_fixture_hits(duck):
-    found = {r[0] for r in duck.execute(app.oracle_sql()["lang_script"]).fetchall() for r in [r[-1:]]}
+    found = {r[0] for r in duck.execute(oracle.oracle_sql()["lang_script"]).fetchall() for r in [r[-1:]]}
     assert {"Chinese", "Japanese", "Korean", "Arabic", "Hindi", "Turkish", "German"} <= found
 
 
