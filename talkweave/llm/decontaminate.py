@@ -25,14 +25,28 @@ BLOCKS, CUT_BITS = 16, 4
 ITEM_WORDS = 2_000_000
 
 
-def fingerprints_at(shingles: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """SimHash of shingles[first:end] for many ranges: bits set in more than half."""
-    out = np.zeros(len(first), np.uint64)
-    for bit in range(64):
-        ones = np.zeros(len(shingles) + 1, np.int32)
-        np.cumsum((shingles >> np.uint64(bit)) & np.uint64(1), out=ones[1:], dtype=np.int32)
-        out |= (2 * (ones[end] - ones[first]) > end - first).astype(np.uint64) << np.uint64(bit)
-    return out
+class Fingerprints:
+    """SimHash of ranges of shingles: bits set in more than half. Running sums of the bits serve all ranges of a stretch."""
+
+    STRETCH = 20_000
+
+    def __init__(self, shingles: np.ndarray, longest: int):
+        self.shingles, self.longest = shingles, longest
+        self.sums: dict[int, np.ndarray] = {}
+
+    def at(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(first), np.uint64)
+        stretch = first // self.STRETCH
+        for k in np.unique(stretch).tolist():
+            mine, begin = stretch == k, k * self.STRETCH
+            if k not in self.sums:
+                part = self.shingles[begin:begin + self.STRETCH + self.longest]
+                bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                self.sums[k] = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
+            a, b = first[mine] - begin, end[mine] - begin
+            most = 2 * (self.sums[k][b] - self.sums[k][a]) > (b - a)[:, None]
+            out[mine] = np.packbits(most, axis=1, bitorder="little").view("<u8").ravel()
+        return out
 
 
 def similarity(a: Counter, b: Counter) -> float:
@@ -81,7 +95,7 @@ class Items:
         self.table[(self.shingles >> np.uint64(44)).astype(np.int64)] = True
 
     def _sized(self, n: int, items: list[tuple[int, np.ndarray]]) -> Sized:
-        fps = np.array([fingerprints_at(s, np.array([0]), np.array([len(s)]))[0] for _, s in items], np.uint64)
+        fps = np.array([Fingerprints(s, len(s)).at(np.array([0]), np.array([len(s)]))[0] for _, s in items], np.uint64)
         values = np.arange(1 << CUT_BITS)
         near = np.zeros((BLOCKS, 1 << CUT_BITS, len(items)), bool)
         for cut in range(BLOCKS):
@@ -102,6 +116,7 @@ class Items:
         hashes = arrays.word_hashes(words)
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         by_run: dict[int, tuple] = {}
+        made: dict[tuple[int, int], Fingerprints] = {}
         for sized in self.sizes:
             run = min(self.size, sized.words)
             if run not in by_run:
@@ -121,8 +136,9 @@ class Items:
                 first, last = first[enough], last[enough]
                 if not len(first):
                     continue
-                inside = shingles[first[0]:last[-1]]
-                fps = fingerprints_at(inside, first - first[0], last - first[0])
+                if (text, run) not in made:
+                    made[text, run] = Fingerprints(shingles[begin:end], self.sizes[-1].words)
+                fps = made[text, run].at(first - begin, last - begin)
                 for w, item in zip(*(x.tolist() for x in sized.candidates(fps, self.radius))):
                     a, b = int(first[w]), int(last[w])
                     like = similarity(Counter(shingles[a:b].tolist()), sized.weights[item])
