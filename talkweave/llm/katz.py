@@ -107,15 +107,20 @@ class Tokens:
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values and, in 32 bits, the place of each value among them."""
-    out = np.unique(values)
-    return out, np.searchsorted(out, values).astype(np.int32)
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    place = np.empty(len(values), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], place
 
 
 def _reply_counts(_, keys: list[np.ndarray], mores: list[bytes]) -> list[bytes]:
-    """Total of each key; whether the asking chunk owns it, as the first that counts it; and the order's counts of counts."""
+    """Total of each key; whether the asking chunk owns it, as one of those that count it; and the order's counts of counts."""
     mine = np.concatenate([chunks.unpack(m, np.uint32) for m in mores]).astype(np.int64)
     every = np.concatenate(keys)
-    order = np.argsort(every, kind="stable")
+    order = np.argsort(every)
     cuts = chunks.same_runs(every[order])
     run = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
     totals = np.add.reduceat(mine[order], cuts[:-1])
@@ -136,7 +141,7 @@ def _reply_sums(_, keys: list[np.ndarray], mores: list[bytes]) -> list[bytes]:
     parts = [chunks.unpack(m, np.float64).reshape(3, -1) for m in mores]
     kept, lower, n = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0))
     every = np.concatenate(keys)
-    order = np.argsort(every, kind="stable")
+    order = np.argsort(every)
     cuts = chunks.same_runs(every[order])
     run = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
     kept, lower = (np.add.reduceat(x[order], cuts[:-1]) for x in (kept, lower))
