@@ -46,22 +46,22 @@ def _grams(words: arrays.Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Hashed character n-grams of the words ``at``, word after word, and where each word's begin."""
     start, end = words.start[at], words.end[at]
     length = end - start
-    padded = np.concatenate([[0, 0], words.data, [0, 0, 0]]).astype(np.uint64)
+    padded = np.concatenate([np.zeros(2, np.uint8), words.data, np.zeros(3, np.uint8)])
     count = length + np.array([np.minimum(length, p) == p for p in PREFIXES]).sum(0)
     bounds = np.concatenate([[0], np.cumsum(count)])
     out = np.empty(bounds[-1], np.uint64)
     # Runs of three around each byte; bytes outside of the word count as its edge.
     place = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
     where = np.repeat(start, length) + place + 2
-    left = np.where(place > 0, padded[where - 1], np.uint64(0))
-    right = np.where(place < np.repeat(length, length) - 1, padded[where + 1], np.uint64(0))
+    left = np.where(place > 0, padded[where - 1], 0).astype(np.uint64)
+    right = np.where(place < np.repeat(length, length) - 1, padded[where + 1], 0).astype(np.uint64)
     with np.errstate(over="ignore"):
-        three = (left << np.uint64(16)) | (padded[where] << np.uint64(8)) | right
+        three = (left << np.uint64(16)) | (padded[where].astype(np.uint64) << np.uint64(8)) | right
         out[np.repeat(bounds[:-1], length) + place] = three * np.uint64(2)
         value, used = np.zeros(len(at), np.uint64), length.copy()
         for k in range(max(PREFIXES)):
             inside = np.minimum(start + k, end - 1) + 2
-            value = np.where(k < length, (value + padded[inside] + np.uint64(1)) * np.uint64(0x100000001B3), value)
+            value = np.where(k < length, (value + padded[inside].astype(np.uint64) + np.uint64(1)) * np.uint64(0x100000001B3), value)
             if k + 1 in PREFIXES:
                 has = length >= k + 1
                 out[bounds[:-1][has] + used[has]] = value[has] * np.uint64(2) + np.uint64(1)
@@ -81,8 +81,10 @@ class Texts:
     n_texts: int
 
 
-def windows(words: arrays.Words) -> Texts:
-    hashes, first, ids = np.unique(arrays.word_hashes(words), return_index=True, return_inverse=True)
+def windows(words: arrays.Words, of_words: np.ndarray | None = None) -> Texts:
+    """Windows of the texts; ``of_words``: the words' hashes, if they are known."""
+    of_words = arrays.word_hashes(words) if of_words is None else of_words
+    hashes, first, ids = np.unique(of_words, return_index=True, return_inverse=True)
     n = np.diff(words.bounds)
     count = np.where(n > WINDOW, -(-(n - WINDOW) // STEP) + 1, np.minimum(n, 1))
     text = np.repeat(np.arange(len(n)), count)
@@ -237,7 +239,7 @@ class Network:
 
     def window_logits(self, t: Texts) -> np.ndarray:
         vectors, _, _ = self.inputs(t)
-        out = [self.logits(vectors, t.ids[lo:lo + 4096]) for lo in range(0, len(t.ids), 4096)]
+        out = [self.logits(vectors, t.ids[lo:lo + 2048]) for lo in range(0, len(t.ids), 2048)]
         return np.concatenate([np.zeros(0, np.float32), *out])
 
     def scores(self, t: Texts) -> np.ndarray:
@@ -277,19 +279,34 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def _together(parts: list[arrays.Words]) -> tuple[arrays.Words, np.ndarray]:
+    """Slices of words as one, and their hashes, which are made slice by slice to save memory."""
+    hashes = np.concatenate([np.zeros(0, np.uint64), *map(arrays.word_hashes, parts)])
+    at = np.cumsum([0, *(len(p.data) for p in parts)])
+    words = np.cumsum([0, *map(len, parts)])
+    joined = arrays.Words(
+        0, np.concatenate([np.zeros(0, np.uint8), *(p.data for p in parts)]),
+        np.concatenate([np.zeros(0, np.int64), *(p.start + a for p, a in zip(parts, at))]),
+        np.concatenate([np.zeros(0, np.int64), *(p.end + a for p, a in zip(parts, at))]),
+        np.concatenate([np.zeros(1, np.int64), *(p.bounds[1:] + w for p, w in zip(parts, words))]),
+    )
+    return joined, hashes
+
+
 def train(texts: list[str], labels: list[int], how: Training = Training()) -> Network:
-    """A network for the texts and their labels (0 or 1); every third text is kept for the document level."""
-    own = next(arrays.words_of(pa.array(texts, pa.large_string()), WORDS, 1 << 60))
-    t, labels = windows(own), np.array(labels, float)
+    """A network for the texts and their labels (0 or 1); every third text of each label is kept for the document level."""
+    own, all_hashes = _together(list(arrays.words_of(pa.array(texts, pa.large_string()), WORDS)))
+    t, labels = windows(own, all_hashes), np.array(labels, float)
     text_of = own.text_of()
-    all_hashes = arrays.word_hashes(own)
     pairs = np.unique(np.stack([np.searchsorted(t.hashes, all_hashes), text_of]), axis=1) if len(own) else np.zeros((2, 0), int)
     documents = np.bincount(pairs[0], minlength=len(t.hashes))
     often = np.argsort(-documents, kind="stable")[:how.vocabulary]
     net = Network.new(np.sort(t.hashes[often][documents[often] >= 3]), how)
     rng = np.random.default_rng(how.seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
-    fits = np.arange(len(texts)) % 3 != 0
+    fits = np.ones(len(texts), bool)
+    for c in (0, 1):
+        fits[np.flatnonzero(labels == c)[2::3]] = False
     mine = np.flatnonzero(fits[t.text]) if len(t.text) else np.zeros(0, int)
     step = 0
     turn = 0
