@@ -2,14 +2,14 @@
 
 A vocabulary file of base64 byte strings and ranks becomes a BPE model: each byte is written as one
 printable character, and every way of building a token from two others is a merge, in order of the token's rank.
-Texts are cut at single spaces between two characters that are not white space, where the pattern always
-ends a match, so equal segments are encoded once per worker and a long text never becomes one large Encoding.
+Texts are cut before single spaces between two characters that are not white space, and between a letter and a
+full stop, comma or the like, where the pattern always ends a match, so equal segments are encoded once per worker and a long text never becomes one large Encoding.
 """
 
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +22,12 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 from talkweave.llm.arrays import map_batches
 
 #: Segments that a worker keeps; the memory of its cache is bounded by this number.
-KEPT_SEGMENTS = 400_000
+KEPT_SEGMENTS = 200_000
 LONGEST_KEPT = 64
 
-# Python's white space holds all of the pattern's, so these cuts are safe for either.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+# Python's white space holds all of the pattern's, so these cuts are safe for either. After a letter, punctuation
+# other than an apostrophe begins a match of its own.
+_CUT = re.compile(r"(?<=\S)(?= \S)|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?])")
 
 
 def byte_characters() -> dict[int, str]:
@@ -42,7 +43,15 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         chars = byte_characters()
         back = {c: b for b, c in chars.items()}
-        spelled = {t: "".join(chars[b] for b in t) for t in ranks}
+        self.ranks, self.pattern = ranks, pattern
+        self.spelled = {t: "".join(chars[b] for b in t) for t in ranks}
+        self.pieces = {i: bytes(back[c] for c in self.spelled[t]) for t, i in ranks.items()}
+        self.kept: dict[str, bytes] = {}
+
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """The model, made when something is encoded: workers that only decode do without."""
+        ranks, spelled = self.ranks, self.spelled
         merges = [
             (spelled[t[:k]], spelled[t[k:]])
             for t in sorted(ranks, key=ranks.get)
@@ -50,17 +59,15 @@ class Codec:
             if t[:k] in ranks and t[k:] in ranks
         ]
         model = models.BPE(vocab={spelled[t]: i for t, i in ranks.items()}, merges=merges, ignore_merges=True)
-        self.tokenizer = Tokenizer(model)
-        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(Regex(pattern), "isolated"),
+        made = Tokenizer(model)
+        made.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(Regex(self.pattern), "isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False, trim_offsets=False),
         ])
-        self.pieces = {i: bytes(back[c] for c in spelled[t]) for t, i in ranks.items()}
-        self.kept: dict[str, bytes] = {}
+        return made
 
     def segments(self, text: str) -> list[str]:
-        first, *rest = _CUT.split(text)
-        return [first, *map(" ".__add__, rest)]
+        return _CUT.split(text)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -116,15 +123,16 @@ def _vocabulary(df: DataFrame, path: str):
 
 
 def encode(
-    df: DataFrame, path: str, pattern: str, text_col: str = "text", offsets: bool = False, packed: bool = False
+    df: DataFrame, path: str, pattern: str, text_col: str = "text",
+    offsets: bool = False, packed: bool = False, decoded: bool = False,
 ) -> DataFrame:
     """The columns of ``df`` and ``ids``: array<int>, or with ``packed`` little-endian unsigned 32-bit integers as binary.
 
-    With ``offsets`` also ``starts`` and ``ends`` (array<int>, code points, end exclusive). Null texts count as empty and
+    With ``decoded`` also ``decoded``, the bytes that the ids decode to, in the same pass. With ``offsets`` also ``starts`` and ``ends`` (array<int>, code points, end exclusive). Null texts count as empty and
     give no ids; repeated rows are kept; an empty table gives an empty result; a column named
     like a new one is replaced. Text that spells a special token is ordinary text.
     """
-    new = ["ids", "starts", "ends"] if offsets else ["ids"]
+    new = ["ids", *["starts", "ends"] * offsets, *["decoded"] * decoded]
     df = df.drop(*new)
     find = _vocabulary(df, path)
 
@@ -143,13 +151,18 @@ def encode(
                 texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
                 if offsets:
                     found = [own.encode_offsets(t) for t in texts]
-                    extra = [as_column([np.array(i, "<u4").tobytes() for i, _ in found])]
-                    extra += [pa.array([[s[k] for s in spans] for _, spans in found], pa.list_(pa.int32())) for k in (0, 1)]
+                    ids = [np.array(i, "<u4").tobytes() for i, _ in found]
                 else:
-                    extra = [as_column(own.encode_all(texts))]
+                    ids = own.encode_all(texts)
+                extra = [as_column(ids)]
+                if offsets:
+                    extra += [pa.array([[s[k] for s in spans] for _, spans in found], pa.list_(pa.int32())) for k in (0, 1)]
+                if decoded:
+                    extra.append(pa.array([own.decode_bytes(np.frombuffer(i, "<u4").tolist()) for i in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *new])
 
-    kinds = [BinaryType() if packed else ArrayType(IntegerType()), *[ArrayType(IntegerType())] * (len(new) - 1)]
+    number = ArrayType(IntegerType())
+    kinds = [BinaryType() if packed else number, *[number] * (2 * offsets), *[BinaryType()] * decoded]
     return map_batches(df, run, StructType([*df.schema, *map(StructField, new, kinds)]))
 
 

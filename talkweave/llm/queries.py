@@ -23,8 +23,7 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = byte_bpe.encode(docs, *vocabulary, packed=True).select("doc_id", "ids")
-    return byte_bpe.digests(byte_bpe.decode(ids, *vocabulary))
+    return byte_bpe.digests(byte_bpe.encode(docs, *vocabulary, packed=True, decoded=True))
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
