@@ -29,13 +29,15 @@ GIVEN_ENDING = {
 _TITLE = "(?:" + "|".join(MALE + FEMALE) + r")\.?"
 _NAME = r"\p{Lu}[\p{Ll}\p{M}]+(?:[-'’]\p{Lu}[\p{Ll}\p{M}]+)?"
 _NO_DIGIT = r"(?<![\p{L}\p{N}])"
+_SECRET = r"\p{L}\p{M}\p{N}+/_=~@#$%^&*-"  # what a secret may end in
+_INSIDE = "[" + _SECRET[:-1] + ".!?:-]"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 #: kind -> pattern of a whole value, tried in this order at each place of a text
 PATTERNS = {
-    "assigned": _NO_DIGIT + r"(?:password|passwd|pwd|secret|token|api_?key)\s?[=:]\s?[\"']?[\p{L}\p{N}+/_-]{8,200}",
+    "assigned": _NO_DIGIT + r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?[\"']?" + _INSIDE + "{7}" + _INSIDE + "*[" + _SECRET + "]",
     "key": _NO_DIGIT + r"A(?:KIA|SIA)[0-9A-Z]{16}(?![\p{L}\p{N}])",
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "iban": _NO_DIGIT + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{N}]|\.[\p{N}])",
     "phone": r"(?<![\p{N}+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?|[0-9]{1,4}[ .-])?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}(?![\p{N}])"
@@ -45,7 +47,7 @@ PATTERNS = {
     "name": r"(?<![\p{L}\p{N}])" + _TITLE + " " + _NAME + "(?: " + _NAME + ")?",
 }
 #: Texts without any of these hold no value.
-MAY_HOLD = r"[0-9@]|[=:]\s?[\"']?[\p{L}+/_-]{8}|(?<!\p{L})" + _TITLE + r" \p{Lu}"
+MAY_HOLD = r"[0-9@]|[=:]\s?[\"']?" + _INSIDE + r"{8}|(?<!\p{L})" + _TITLE + r" \p{Lu}"
 _ANY = "(?:" + "|".join(p.replace(r"\1", "{back}") for p in PATTERNS.values()) + ")"
 # The separator inside card numbers is the only group that captures.
 ANY = _ANY.replace("{back}", r"\1")
@@ -73,7 +75,7 @@ def _parts(found: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     prefix = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[^0-9])", 0)
     rest = F.substr(value, F.length(prefix) + 1)
-    lead = F.regexp_extract(value, r"^\w+\s?[=:]\s?[\"']?", 0)
+    lead = F.regexp_extract(value, r"^[\w-]+\s?[=:]\s?[\"']?", 0)
     title = F.regexp_extract(value, r"^[\p{L}.]+ ", 0)
     names = F.split(F.substr(value, F.length(title) + 1), " ")
     male = F.regexp_like(title, F.lit("^(?:" + "|".join(MALE) + r")\.? $"))
@@ -121,10 +123,8 @@ _LETTERS = {
 
 def _same_format(norm: Column, seed: Column) -> Column:
     """Digits for digits and letters for letters of the same script and case, place by place; the rest stays."""
-    hexadecimal = F.regexp_like(norm, F.lit("^[0-9a-f]+$"))
 
-    def place(i: Column) -> Column:
-        c = F.substr(norm, i, F.lit(1))
+    def place(c: Column, i: Column, seed: Column, hexadecimal: Column) -> Column:
         out = F.when(F.regexp_like(c, F.lit("[0-9]")), F.when(i == 1, _pick("23456789", seed, i)).otherwise(_pick("0123456789", seed, i)))
         out = out.when(hexadecimal, _pick("abcdef", seed, i))
         for kind, letters in _LETTERS.items():
@@ -132,8 +132,12 @@ def _same_format(norm: Column, seed: Column) -> Column:
                 out = out.when(F.regexp_like(c, F.lit(f"[{kind}]")), _pick(letters, seed, i))
         return out.otherwise(F.when(F.regexp_like(c, F.lit(r"\p{L}")), _pick(_LETTERS["a-z"], seed, i)).otherwise(c))
 
-    places = F.transform(F.sequence(F.lit(1), F.greatest(F.length(norm), F.lit(1))), place)
-    return F.array_join(places, "")
+    def places(of: Column) -> Column:
+        return F.array_join(F.transform(F.split(norm, ""), lambda c, i: place(c, i + 1, of["seed"], of["hexadecimal"])), "")
+
+    # One element, so that what depends on the whole value is worked out once and not at each place.
+    once = F.array(F.struct(seed.alias("seed"), F.regexp_like(norm, F.lit("^[0-9a-f]+$")).alias("hexadecimal")))
+    return F.element_at(F.transform(once, places), 1)
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -169,7 +173,8 @@ def _name(kind: Column, norm: Column, seed: Column) -> Column:
 
 def candidate(kind: Column, norm: Column, key: str, attempt: int) -> Column:
     """The surrogate that a value draws at an attempt."""
-    seed = F.concat_ws("|", F.lit(key), kind, norm, F.lit(str(attempt)))
+    told = F.when(F.length(norm) > 200, F.sha2(norm, 256)).otherwise(norm)
+    seed = F.concat_ws("|", F.lit(key), kind, told, F.lit(str(attempt)))
     octets = [(_draw(seed, i, 254) + 1).cast("string") for i in range(1, 5)]
     local = F.regexp_extract(norm, "^[^@]*", 0)
     top = F.regexp_extract(norm, r"[^.]*$", 0)

@@ -95,3 +95,29 @@ def test_messy(spark, messy, nothing):
     assert [r.text.endswith(" 1.2.3.4.5") and r.text.startswith("@ = : token=\n\\1 $1 ") for r in got if r.n_values] == [True, True]
     kept = surrogates.without_values(both)
     assert kept.columns == messy.columns and {r.n_values for r in kept.collect()} == {"c"}
+
+
+def test_values_are_taken_to_their_end(spark):
+    long, local = "Ab3" * 100, "very.long." * 7 + "name"
+    labels = ".".join(f"part{i}" for i in range(12)) + ".org"
+    secrets = [
+        long, "xY9_" * 5_000, "eyJhbGciOi.eyJzdWIiOi.SflKxwRJ", "dGVzdHRlc3Q=.abc-def==", "bob.smith@mail.example.com", "hunter2hunter2!x#y",
+    ]
+    leads = ["password=", "token: ", "Password: ", 'TOKEN="', "API_KEY=", "api-key: ", "ApiKey = '"]
+    texts = [f"my {lead}{s}. Then" for s in secrets for lead in leads]
+    for old, new in zip(texts, replaced(spark, *texts)):
+        lead = next(x for x in leads if old.startswith(f"my {x}"))
+        secret = old[len(f"my {lead}"):-len(". Then")]
+        value = new[len(f"my {lead}"):-len(". Then")]
+        assert new.startswith(f"my {lead}") and new.endswith(". Then") and len(value) == len(secret)
+        for a, b in zip(re.split(r"[\W_]", secret), re.split(r"[\W_]", value)):
+            assert not a or len(a) < 4 or a != b
+        assert secret[-8:] not in new and secret[:8] not in new
+    mails = [f"{local}@mail.org", f"bob@{labels}", f"{'x' * 500}@{'y' * 100}.{'z' * 80}.com", "a@b." + "c." * 3_000 + "net"]
+    for old, new in zip(mails, replaced(spark, *[f"to {m}, now" for m in mails])):
+        assert re.fullmatch(r"to [\w.]+@[a-z]\d+\.example\.(org|com|net), now", new) and old[:6] not in new
+
+
+def test_key_words_need_a_value(spark):
+    texts = ["Token: none. API-KEY: short.. and", "password", "a token:\nnext line is text", "a@b..com b@c"]
+    assert replaced(spark, *texts) == ["Token: none. API-KEY: short.. and", "password", texts[2], texts[3]]
