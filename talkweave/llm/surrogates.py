@@ -2,11 +2,12 @@
 
 Detected values are replaced by keyed ones of the same type: same script, format and gender of title. The same value has
 the same surrogate everywhere, in whatever format it is written; distinct values keep distinct surrogates, and no
-surrogate is a value that occurs in the corpus: candidates that fail this check are drawn again.
+surrogate is a value that occurs in the corpus: candidates that fail this check are drawn again. Only where a fixed format
+has no free candidates left do its values get each other's places, by a keyed permutation.
 Only documents that hold values are shuffled, by their list of values, of which equal lists are worked on once.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkweave.staging import materialise
@@ -52,6 +53,11 @@ _ANY = "(?:" + "|".join(p.replace(r"\1", "{back}") for p in PATTERNS.values()) +
 # The separator inside card numbers is the only group that captures.
 ANY = _ANY.replace("{back}", r"\1")
 
+#: A value of a fixed format that has drawn so often in vain finds its format exhausted.
+ATTEMPTS = 32
+#: Attempts after which secrets grow.
+SAME_LENGTH = 4
+
 PART = "array<struct<kind:string,raw:string,norm:string>>"
 
 
@@ -157,14 +163,14 @@ def _card(norm: Column, seed: Column) -> Column:
     return F.when(_luhn_sum(norm) % 10 == 0, F.concat(body, check)).otherwise(F.concat(body, _pick("0123456789", seed, F.length(norm))))
 
 
-def _name(kind: Column, norm: Column, seed: Column) -> Column:
-    """Three syllables in the name's script, more on later attempts, with an ending of its gender."""
+def _name(kind: Column, norm: Column, seed: Column, attempt: int) -> Column:
+    """Five syllables in the name's script, one more on each later attempt, with an ending of its gender."""
     script = (F.when(F.regexp_like(norm, F.lit(r"\p{IsCyrillic}")), "cyrillic")
               .when(F.regexp_like(norm, F.lit(r"\p{IsGreek}")), "greek").otherwise("latin"))
     out = F.lit(None).cast("string")
     for name, syllables in SYLLABLES.items():
         listed = F.array(*map(F.lit, syllables))
-        body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(5)), lambda i: F.element_at(listed, (_draw(seed, i, 16) + 1).cast("int"))), "")  # noqa: B023
+        body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(5 + attempt)), lambda i: F.element_at(listed, (_draw(seed, i, 16) + 1).cast("int"))), "")  # noqa: B023
         ending = GIVEN_ENDING[name]
         full = F.concat(body, F.when(kind == "given_m", ending["given_m"]).when(kind == "given_f", ending["given_f"]).otherwise(""))
         out = F.when(script == name, F.initcap(full)).otherwise(out)
@@ -179,21 +185,29 @@ def candidate(kind: Column, norm: Column, key: str, attempt: int) -> Column:
     local = F.regexp_extract(norm, "^[^@]*", 0)
     top = F.regexp_extract(norm, r"[^.]*$", 0)
     email = F.concat(_same_format(local, seed), F.lit("@"), _pick(_LETTERS["a-z"], seed, F.lit(900)),
-                     _draw(seed, 901, 1000).cast("string"), F.lit(".example."), top)
+                     _draw(seed, 901, 1000).cast("string"), *[_draw(seed, 902 + i, 1000).cast("string") for i in range(attempt)],
+                     F.lit(".example."), top)
+    longer = [_pick(_LETTERS["a-z"], seed, F.lit(f"more {i}")) for i in range(attempt - SAME_LENGTH)]
     return (
         F.when(kind == "ip", F.concat_ws(".", *octets))
         .when(kind == "email", email)
         .when(kind == "card", _card(norm, seed))
-        .when(kind.isin("given_m", "given_f", "family"), _name(kind, norm, seed))
+        .when(kind.isin("given_m", "given_f", "family"), _name(kind, norm, seed, attempt))
+        .when(kind == "secret", F.concat(_same_format(norm, seed), *longer))
         .otherwise(_same_format(norm, seed))
     )
 
 
+#: Kinds whose candidates grow with the attempts.
+GROWING = ("given_m", "given_f", "family", "email", "secret")
+
+
 def surrogate_table(values: DataFrame, key: str) -> DataFrame:
     """(kind, norm, surrogate) for the distinct (kind, norm) of ``values``: distinct per kind and none of them a value.
 
     Attempts go on until every value has its own. A value keeps a candidate if no value equals it, no earlier
-    attempt took it, and it is the smallest value that drew it.
+    attempt took it, and it is the smallest value that drew it. Names, addresses and secrets have more candidates at later
+    attempts; the values of a fixed format that is exhausted after ATTEMPTS are permuted (``_permuted``).
     """
     known = materialise(values.select("kind", "norm").distinct(), "values")
     done, pending, attempt = None, known, 0
@@ -209,6 +223,32 @@ def surrogate_table(values: DataFrame, key: str) -> DataFrame:
         if pending.isEmpty():
             return done
         attempt += 1
+        if attempt % ATTEMPTS == 0 and not (stuck := pending.where(~F.col("kind").isin(*GROWING))).isEmpty():
+            instead = _permuted(known, stuck, key)
+            done = materialise(done.join(instead, ["kind", "norm"], "left_anti").union(instead), "surrogates")
+            pending = materialise(pending.join(instead, ["kind", "norm"], "left_anti"), "pending")
+            if pending.isEmpty():
+                return done
+
+
+def _format(kind: Column, norm: Column) -> Column:
+    """What all candidates of a value share."""
+    shape = F.regexp_replace(F.regexp_replace(norm, "[0-9]", "9"), "[A-Z]", "A")
+    card = F.concat_ws("|", shape, F.substring(norm, 1, 1), (_luhn_sum(norm) % 10 == 0).cast("string"))
+    return F.when(kind == "ip", F.lit("ip")).when(kind == "card", card).otherwise(shape)
+
+
+def _permuted(known: DataFrame, stuck: DataFrame, key: str) -> DataFrame:
+    """(kind, norm, surrogate) for all values in the formats of ``stuck``: each gets the next one of its format in a keyed order.
+
+    Still distinct, and none its own; as no other surrogate is a value, distinct from all others too.
+    """
+    shape = _format(F.col("kind"), F.col("norm")).alias("format")
+    formats = stuck.select("kind", shape).distinct()
+    of_format = Window.partitionBy("kind", "format").orderBy(F.sha2(F.concat_ws("|", F.lit(key), "kind", "norm"), 256))
+    every = of_format.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = F.coalesce(F.lead("norm").over(of_format), F.first("norm").over(every)).alias("surrogate")
+    return materialise(known.select("kind", "norm", shape).join(formats, ["kind", "format"]).select("kind", "norm", after), "permuted")
 
 
 def _render(raw: Column, surrogate: Column) -> Column:

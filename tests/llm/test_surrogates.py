@@ -121,3 +121,24 @@ def test_values_are_taken_to_their_end(spark):
 def test_key_words_need_a_value(spark):
     texts = ["Token: none. API-KEY: short.. and", "password", "a token:\nnext line is text", "a@b..com b@c"]
     assert replaced(spark, *texts) == ["Token: none. API-KEY: short.. and", "password", texts[2], texts[3]]
+
+
+def test_exhausted_formats_are_permuted(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "ATTEMPTS", 2)
+    monkeypatch.setattr(surrogates, "SAME_LENGTH", 0)
+    phones = [f"{i:04d}" for i in range(10_000)]
+    values = spark.createDataFrame([("phone", p) for p in phones] + [("phone", "123456789"), ("secret", "________"), ("secret", "a1b2c3d4")], "kind string, norm string")
+    rows = surrogates.surrogate_table(values, "k").collect()
+    made = {(r.kind, r.norm): r.surrogate for r in rows}
+    assert len(rows) == len(made) == 10_003 and all(k[1] != v for k, v in made.items())
+    assert sorted(made["phone", p] for p in phones) == phones
+    assert made["phone", "123456789"] not in phones and len(made["phone", "123456789"]) == 9
+    assert len({(k[0], v) for k, v in made.items()}) == 10_003
+
+
+def test_names_grow_with_the_attempts(spark):
+    frame = spark.createDataFrame([("family", "Smith"), ("email", "a@b.org")], "kind string, norm string")
+    made = [
+        {r.kind: r.made for r in frame.select("kind", surrogates.candidate(F.col("kind"), F.col("norm"), "k", n).alias("made")).collect()} for n in (0, 3)
+    ]
+    assert len(made[0]["family"]) == 10 and len(made[1]["family"]) == 16 and len(made[1]["email"]) > len(made[0]["email"])
