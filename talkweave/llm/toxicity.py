@@ -340,14 +340,15 @@ def held_out(doc_id, folds: int = 5):
 
 def fit(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Network | None:
     """A network trained on a bounded sample: of each class the ``documents_per_class`` ids that are first by hash and not held out,
-    as far as their texts have at most ``longest`` characters. None without a labelled text of each class."""
+    as far as their texts have at most ``longest`` characters; of an id's texts the smallest. None without a labelled text of each class."""
     marked = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(~held_out(F.col("doc_id")))
     by_hash = [
         marked.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.documents_per_class) for c in (0, 1)
     ]
     texts = docs.select(F.col("doc_id").alias("id"), "text").where(F.length("text") <= how.longest)
-    rows = texts.join(F.broadcast(by_hash[0].union(by_hash[1])), F.col("id") == F.col("doc_id")).select("id", "text", "toxic").collect()
+    rows = texts.join(F.broadcast(by_hash[0].union(by_hash[1])), F.col("id") == F.col("doc_id"))
+    rows = rows.groupBy("id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).collect()
     rows.sort(key=lambda r: (r.id, r.text))
     if len({r.toxic for r in rows}) < 2:
         return None

@@ -108,3 +108,16 @@ def test_messy(spark, messy, nothing, network):
     assert scored.columns == [c for c in messy.columns if c != "score"] + ["score"]
     kept = toxicity.clean(messy, network)
     assert kept.columns == messy.columns and kept.count() == sum(s < 0.5 for s in [r.score for r in scored.collect()])
+
+
+def test_repeated_documents_are_one_text(spark, monkeypatch):
+    """What reaches the driver is bounded by the ids, however often a labelled document is repeated."""
+    rows = [(i, f"some words of document {i}", i % 2) for i in range(40)]
+    often = next(i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows for _ in range(1 + 500 * (i == often))] + [(often, "other text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, c) for i, _, c in rows], "doc_id long, toxic int")
+    got = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, how: got.append((texts, toxic)))
+    toxicity.fit(docs, labels)
+    (texts, toxic), = got
+    assert len(texts) == len(toxic) == len(set(texts)) <= 40 and "other text" in texts
