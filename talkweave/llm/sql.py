@@ -44,5 +44,53 @@ FROM split LEFT JOIN kept USING (doc_id)
 """
 
 
+#: Runs have five equal consecutive pairs of words at least, so pairs of equal five-word stretches find them all.
+PERIODIC_RUNS = r"""
+WITH RECURSIVE bits AS (
+  SELECT 0 AS k, (range)::UBIGINT AS byte, (range)::UBIGINT AS crc FROM range(256)
+  UNION ALL SELECT k + 1, byte, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384::UBIGINT) ELSE crc >> 1 END FROM bits WHERE k < 8
+), crc_table AS (SELECT list(crc ORDER BY byte) AS t FROM bits WHERE k = 8
+), hashed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+      lambda crc, c: xor(crc >> 8, t[(xor(crc, c) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS h
+  FROM documents, crc_table
+), placed AS (
+  SELECT doc_id, words, len(words) AS n, h, h // 10 AS g, CASE WHEN len(words) > 0 THEN (h // 10) % len(words) END AS a FROM hashed
+), planted AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: words[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1])
+    ELSE words END AS words
+  FROM placed
+), word AS (
+  SELECT doc_id, n, unnest(range(n)) AS i, unnest(words) AS w FROM planted
+), five AS (
+  SELECT doc_id, n, i, hash(w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS said
+  FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i) QUALIFY lead(w, 4) OVER o IS NOT NULL
+), pair AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM five x JOIN five y ON x.doc_id = y.doc_id AND x.said = y.said AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), island AS (
+  SELECT doc_id, q, min(i) AS s, max(i) + 4 - min(i) + 1 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pair)
+  GROUP BY doc_id, q, part HAVING max(i) + 4 - min(i) + 1 + q >= greatest(6, 4 * q)
+), run AS (
+  SELECT * FROM island x WHERE NOT EXISTS (
+    SELECT 1 FROM island y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.s + y.length >= x.s + x.length)
+), said AS (
+  SELECT doc_id, count(*) AS n_runs, arg_max((s, length, q), (length, -s, -q)) AS best,
+    sha256(string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256
+  FROM run GROUP BY doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM run
+), kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS said FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS "start", best[2]::BIGINT AS length, best[3]::BIGINT AS period,
+  (1000 * best[2] // best[3])::BIGINT AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+  sha256(coalesce(kept.said, '')) AS collapsed_sha256
+FROM planted LEFT JOIN said USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_substring_dedup": SUBSTRING_DEDUP, "op8_chat_format": CHAT_FORMAT}
+    return {"op7_substring_dedup": SUBSTRING_DEDUP, "op8_chat_format": CHAT_FORMAT, "op13_periodic_runs": PERIODIC_RUNS}
