@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, merkle, periodic_runs, simhash_dedup, substring_dedup, surrogates, toxicity
+from talkweave.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, merkle, periodic_runs, simhash_dedup, substring_dedup, surrogates, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(warc.round_trip(table(spark, sf_dir, "pages")))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
     return periodic_runs.report(periodic_runs.periodic_runs(planted))

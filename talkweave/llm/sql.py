@@ -44,6 +44,15 @@ FROM split LEFT JOIN kept USING (doc_id)
 """
 
 
+WARC = r"""
+WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+), placed AS (SELECT *, CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM page)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to, true AS valid
+FROM placed
+"""
+
 #: Runs have five equal consecutive pairs of words at least, so pairs of equal five-word stretches find them all.
 PERIODIC_RUNS = r"""
 WITH RECURSIVE bits AS (
@@ -93,4 +102,4 @@ FROM planted LEFT JOIN said USING (doc_id) LEFT JOIN kept USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_substring_dedup": SUBSTRING_DEDUP, "op8_chat_format": CHAT_FORMAT, "op13_periodic_runs": PERIODIC_RUNS}
+    return {"op7_substring_dedup": SUBSTRING_DEDUP, "op8_chat_format": CHAT_FORMAT, "op11_warc": WARC, "op13_periodic_runs": PERIODIC_RUNS}
