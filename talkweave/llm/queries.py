@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkweave.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, merkle, periodic_runs, simhash_dedup, substring_dedup, surrogates, toxicity, warc
+from talkweave.llm import (
+    byte_bpe, chat_format, decontaminate, katz, license_scan, merkle, periodic_runs, simhash_dedup, substring_dedup, surrogates, toxicity, warc, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +68,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(warc.round_trip(table(spark, sf_dir, "pages")))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
     return periodic_runs.report(periodic_runs.periodic_runs(planted))
