@@ -1,5 +1,6 @@
 """Enrichment by an external text model that runs inside the Spark job."""
 
+import json
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -7,7 +8,8 @@ from dataclasses import dataclass
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkweave import rules
@@ -18,6 +20,7 @@ from talkweave.staging import materialise, ship_package
 Client = Callable[..., tuple[str, str]]
 
 RAW = "chat_id string, stop_reason string, text string, error string, attempts int"
+JOURNAL = RAW + ", call string"
 
 
 @dataclass(frozen=True)
@@ -30,6 +33,39 @@ class CallOptions:
     pause: float = 1.0  # seconds; doubled per attempt while throttled
 
 
+@dataclass(frozen=True)
+class Journal:
+    """Answers under a path that outlives the application: a call answered there is not made again.
+
+    Every task adds its answers when it ends, not when the job does, so a driver that is lost loses the calls of running
+    tasks only. Calls are told apart by chat and by digest of prompt and settings. Failed calls are kept and made again.
+    """
+
+    path: str
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """One answer per chat and call, a successful one if there is any."""
+        try:
+            rows = spark.read.schema(JOURNAL).parquet(self.path)
+        except AnalysisException as failure:
+            if failure.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], JOURNAL)
+        best = F.max(F.struct(F.col("error").isNull(), "stop_reason", "text", "error", "attempts")).alias("best")
+        fields = [f"best.{c}" for c in ("stop_reason", "text", "error", "attempts")]
+        return rows.groupBy("chat_id", "call").agg(best).select("chat_id", *fields, "call")
+
+    def add(self, answers: DataFrame) -> None:
+        # Version 2 moves a task's files into the folder as the task commits.
+        version = "mapreduce.fileoutputcommitter.algorithm.version"
+        answers.write.mode("append").option(version, "2").parquet(self.path)
+
+
+def call_digest(settings: dict):
+    """Digest of a prompt with the settings it is sent with."""
+    return F.sha2(F.concat_ws("\n", F.lit(json.dumps(settings, sort_keys=True)), "prompt"), 256)
+
+
 def _ask(client: Client, prompt: str, settings: dict, options: CallOptions) -> tuple:
     for attempt in range(options.attempts):
         try:
@@ -59,7 +95,8 @@ def _call_batches(
         for batch in batches:
             answers = list(pool.map(ask, batch["prompt"]))
             fields = pd.DataFrame(answers, columns=["stop_reason", "text", "error", "attempts"])
-            yield pd.concat([batch[["chat_id"]].reset_index(drop=True), fields], axis=1)
+            keys = batch.drop(columns="prompt").reset_index(drop=True)
+            yield pd.concat([keys, fields], axis=1)
 
 
 def call_model(
@@ -67,19 +104,28 @@ def call_model(
     client_factory: Callable[[], Client],
     settings: dict,
     options: CallOptions = CallOptions(),
+    journal: Journal | None = None,
 ) -> DataFrame:
     """One answer row per (chat_id, prompt); failures become rows with an error.
 
     The answers are written once: a lost executor or a second reader must not call
-    the model again. Calls are at least once, so chat_id should be the caller's
-    idempotency key; leave spark.speculation off for this job.
+    the model again. With a journal a restarted driver asks only what it lacks. Calls are at least once, so chat_id should be
+    the caller's idempotency key; leave spark.speculation off for this job.
     """
-    spread = prompts.select("chat_id", "prompt").repartition(options.partitions, "chat_id")
+    spark = prompts.sparkSession
     calls = partial(
         _call_batches, client_factory=client_factory, settings=settings, options=options
     )
-    ship_package(prompts.sparkSession)
-    return materialise(spread.mapInPandas(calls, RAW), "answers")
+    ship_package(spark)
+    prompts = prompts.select("chat_id", "prompt")
+    if journal is None:
+        return materialise(prompts.repartition(options.partitions, "chat_id").mapInPandas(calls, RAW), "answers")
+    keyed = materialise(prompts.withColumn("call", call_digest(settings)), "calls")
+    answered = journal.read(spark).filter("error IS NULL").select("chat_id", "call")
+    rest = keyed.join(answered, ["chat_id", "call"], "left_anti").select("chat_id", "call", "prompt")
+    journal.add(rest.repartition(options.partitions, "chat_id").mapInPandas(calls, JOURNAL))
+    answers = keyed.select("chat_id", "call").join(journal.read(spark), ["chat_id", "call"])
+    return materialise(answers.select("chat_id", "stop_reason", "text", "error", "attempts"), "answers")
 
 
 def _with_status(answers: DataFrame) -> DataFrame:
@@ -92,6 +138,7 @@ def enrich_with_model(
     safe_texts: DataFrame,
     client_factory: Callable[[], Client],
     options: CallOptions = CallOptions(),
+    journal: Journal | None = None,
 ) -> DataFrame:
     """(chat_id, summary, chat_sentiment, keywords, status) from (chat_id, safe_text).
 
@@ -104,7 +151,7 @@ def enrich_with_model(
     first = _with_status(
         call_model(
             content.select("chat_id", text.build_prompt(F.col("safe_text")).alias("prompt")),
-            client_factory, rules.FIRST_SETTINGS, options,
+            client_factory, rules.FIRST_SETTINGS, options, journal,
         )
     )
     failed = F.col("status").isin("ERROR", "NO_CONTENT")
@@ -119,7 +166,7 @@ def enrich_with_model(
         F.when(failed, "ERROR").otherwise("OK").alias("status"),
     )
     filtered = content.join(first.filter(F.col("status") == "FILTERED"), "chat_id", "left_semi")
-    second = retry_filtered(filtered, client_factory, options)
+    second = retry_filtered(filtered, client_factory, options, journal)
     empty = empty_chat_result(safe_texts.filter(blank))
     return kept.unionByName(second).unionByName(empty)
 
@@ -128,13 +175,14 @@ def retry_filtered(
     filtered: DataFrame,
     client_factory: Callable[[], Client],
     options: CallOptions = CallOptions(),
+    journal: Journal | None = None,
 ) -> DataFrame:
     """Second attempt with the fallback prompt; one call, no further retries. Still filtered or failing is CONTENT_FILTERED."""
     once = CallOptions(options.partitions, options.threads, 1, 0.0)
     answers = _with_status(
         call_model(
             filtered.select("chat_id", text.build_fallback_prompt(F.col("safe_text")).alias("prompt")),
-            client_factory, rules.FALLBACK_SETTINGS, once,
+            client_factory, rules.FALLBACK_SETTINGS, once, journal,
         )
     )
     refused = F.col("status") != "OK"

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkweave.schema import SUMMARY_SCHEMA, conform
+from talkweave.staging import path_exists
 
 KEYS = ["chat_id", "chat_date"]
 MAX_RECORDS_PER_FILE = 1_000_000
@@ -20,6 +21,14 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], SUMMARY_SCHEMA)
 
 
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path) of the table's files, listed and not read."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "path string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    return files.load(path).select("path")
+
+
 def with_known_dates(rows: DataFrame) -> DataFrame:
     """Empty dates as null, which is how the table's partitions give them back."""
     return rows.withColumn("chat_date", F.nullif(F.col("chat_date"), F.lit("")))
