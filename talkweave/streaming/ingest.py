@@ -7,20 +7,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from talkweave.schema import TURN_SCHEMA, conform
 from talkweave.sources.summaries import merge_summaries
+from talkweave.sources.turn_store import TurnStore
 from talkweave.staging import materialise
 
-#: Chats are stored in this many buckets; a batch reads those that its chats lie in.
-BUCKETS = 256
-STORED_SCHEMA = StructType([
-    *TURN_SCHEMA, StructField("source_file", StringType()), StructField("bucket", LongType()),
-    StructField("run", StringType()), StructField("batch_id", LongType()),
-])
-
-
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """A name that lives in the checkpoint, so that a new checkpoint is a new run."""
     path = f"{checkpoint}/turn-store-run"
@@ -34,14 +26,6 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     return name
 
 
-def stored_turns(spark: SparkSession, turn_store: str, buckets: list[int]) -> DataFrame:
-    """The turns in some buckets of the store. A file that several runs stored counts once."""
-    rows = spark.read.schema(STORED_SCHEMA).parquet(turn_store).filter(F.col("bucket").isin(buckets))
-    kept = rows.groupBy("source_file").agg(F.max(F.struct("run", "batch_id")).alias("kept"))
-    kept = kept.select("source_file", "kept.*")
-    return rows.join(kept, ["source_file", "run", "batch_id"], "left_semi")
-
-
 def incremental_ingest(
     spark: SparkSession,
     inbox: str,
@@ -50,35 +34,29 @@ def incremental_ingest(
     checkpoint: str,
     summarise: Callable[[DataFrame], DataFrame],
     max_files: int = 1000,
+    rows_per_bucket: int = TurnStore.rows_per_bucket,
 ) -> StreamingQuery:
     """Process the files that arrived in ``inbox`` since the last run, then stop.
 
-    Each micro-batch is added to ``turn_store``; chats it touches are summarised again
+    Each micro-batch is added to ``turn_store`` (a ``TurnStore``, of ``rows_per_bucket``); chats it touches are summarised again
     from all their stored turns and merged, and their rows on other days go. A batch repeated after a
-    failure replaces its own partitions of the store and merges the same rows; a new checkpoint is a new run, whose files
+    failure finds its turns stored and merges the same rows; a new checkpoint is a new run, whose files
     take the place of the same files of earlier runs. ``summarise`` maps turns to summary rows.
     """
     run = run_id(spark, checkpoint)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        bucket = F.pmod(F.xxhash64("chat_id"), F.lit(BUCKETS))
-        arrived = materialise(
-            conform(batch.withColumns({"bucket": bucket, "run": F.lit(run), "batch_id": F.lit(batch_id)}), STORED_SCHEMA),
-            "arrived",
-        )
-        (
-            arrived.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket", "run", "batch_id")
-            .parquet(turn_store)
-        )
-        chats = arrived.filter("chat_id IS NOT NULL").select("chat_id", "bucket").distinct()
-        buckets = [r.bucket for r in chats.select("bucket").distinct().collect()]
-        turns = stored_turns(session, turn_store, buckets).join(chats, ["chat_id", "bucket"], "left_semi")
-        turns = materialise(conform(turns, TURN_SCHEMA), "touched-turns")
+        store = TurnStore(session, turn_store, rows_per_bucket)
+        store.recover()
+        arrived = materialise(batch, "arrived")
+        store.add(arrived, run, batch_id)
+        chats = arrived.filter("chat_id IS NOT NULL").select("chat_id").distinct()
+        buckets = store.touched(chats)
+        turns = materialise(conform(store.turns_of(chats, buckets), TURN_SCHEMA), "touched-turns")
         earlier = materialise(turns.select("chat_id", "chat_date").distinct(), "touched-days")
         merge_summaries(session, summary_table, materialise(summarise(turns), "staged"), earlier)
+        store.pack(buckets)
 
     return (
         spark.readStream.schema(TURN_SCHEMA)

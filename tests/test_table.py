@@ -139,16 +139,3 @@ def test_late_first_day_and_new_checkpoint(spark, tmp_path):
     drops = [[turn(2, "2026-01-02"), turn(3, "2026-01-02")], [turn(1, "2026-01-01")]]
     rows = run_ingest(spark, [make_turns(spark, d) for d in drops]).collect()  # ends with a new checkpoint
     assert [(r.chat_date, r.total_turns) for r in rows] == [("2026-01-01", 3)]
-
-
-def test_ingest_reads_touched_buckets_only(spark, tmp_path):
-    from talkweave.streaming import ingest
-
-    turns = make_turns(spark, [(f"c{i}", "t", 1, "q", "r", "2026-01-01") for i in range(400)])
-    bucketed = turns.withColumns({
-        "source_file": F.lit("f"), "run": F.lit("r"), "batch_id": F.lit(0), "bucket": F.pmod(F.xxhash64("chat_id"), F.lit(ingest.BUCKETS)),
-    })
-    bucketed.write.partitionBy("bucket", "run", "batch_id").parquet(str(tmp_path / "store"))
-    rows = ingest.stored_turns(spark, str(tmp_path / "store"), [3, 5])
-    assert {r.bucket for r in rows.select("bucket").distinct().collect()} <= {3, 5}
-    assert len(rows.inputFiles()) < 20 or "PartitionFilters: [bucket" in rows._jdf.queryExecution().executedPlan().toString()
