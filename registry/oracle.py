@@ -390,6 +390,25 @@ SELECT chat_id, chat_date, summary, chat_sentiment, keywords, is_in_scope,
   user_language, total_turns, '2026-02-01T00:00:00+00:00' AS summarized_at
 FROM facts JOIN answers USING (chat_id) LEFT JOIN chat_hits USING (chat_id) LEFT JOIN chat_languages USING (chat_id)"""
 
+OFFLINE = """
+SELECT chat_id, chat_date, summary, chat_sentiment, coalesce(keywords, '') AS keywords, is_in_scope,
+  coalesce(acronym_count, 0) AS acronym_count, coalesce(acronyms_found, '') AS acronyms_found,
+  user_language, total_turns
+FROM facts LEFT JOIN chat_hits USING (chat_id) LEFT JOIN chat_languages USING (chat_id)
+LEFT JOIN extracts USING (chat_id) LEFT JOIN sentiments USING (chat_id)
+LEFT JOIN keywords USING (chat_id)"""
+
+#: Runs of a third of the chats each, in the order of their ids; the first also notes those that are too short.
+LIMITED = """, long_enough AS (
+  SELECT chat_id, row_number() OVER (ORDER BY chat_id) AS nth, count(*) OVER () AS n FROM facts WHERE total_turns >= 2
+), taken AS (
+  SELECT chat_id, CASE status WHEN 'OK' THEN 'DONE' WHEN 'ERROR' THEN 'FAILED' ELSE 'FILTERED' END AS outcome,
+    (status <> 'OK')::BIGINT AS tries, 'run-0000000' || (1 + (nth - 1) // ((n + 2) // 3)) AS run
+  FROM long_enough JOIN answers USING (chat_id)
+  UNION ALL SELECT chat_id, 'SKIPPED', 0, 'run-00000001' FROM facts WHERE total_turns < 2
+)
+"""
+
 STATUS = (
     "CASE WHEN starts_with(summary, 'ERROR') THEN 'ERROR' "
     "WHEN summary IN ('CONTENT_FILTERED', 'NO_CONTENT') THEN summary ELSE 'OK' END"
@@ -449,6 +468,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT conv_id, turn, run_date, 'out/dt_' || run_date || '/' AS output_folder FROM days""",
         "incremental_ingest": w(TURNS, FACTS, HITS, LANGUAGES, MODEL) + BY_MODEL,
         "run_pipeline": w(TURNS, FACTS, HITS, LANGUAGES, MODEL) + BY_MODEL + " WHERE total_turns >= 2",
+        "limited_runs": w(TURNS, FACTS, MODEL) + LIMITED + "SELECT chat_id, outcome, tries, run FROM taken",
+        "run_results": w(TURNS, FACTS, MODEL) + LIMITED + """
+            SELECT run, count(*) FILTER (WHERE outcome <> 'SKIPPED') AS completed, count(*) FILTER (WHERE outcome = 'FAILED') AS errors,
+              count(*) FILTER (WHERE outcome = 'FILTERED') AS filtered, count(*) FILTER (WHERE outcome = 'SKIPPED') AS skipped,
+              0::BIGINT AS retried, true AS has_files_time_and_path
+            FROM taken GROUP BY run""",
         "acronym_dim": """
             SELECT DISTINCT acronym_shrt FROM (
               SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS acronym_shrt FROM conversations)
@@ -543,13 +568,8 @@ def oracle_sql() -> dict[str, str]:
               coalesce(h.acronym_count, 0) AS acronym_count, coalesce(h.acronyms_found, '') AS acronyms_found,
               'English' AS user_language, f.total_turns, '2026-02-01T00:00:00+00:00' AS summarized_at
             FROM facts f LEFT JOIN summaries s USING (chat_id) LEFT JOIN chat_hits h USING (chat_id)""",
-        "chat_summary": w(TURNS, LANGUAGES, FACTS, HITS, SAFE, SENTIMENT, KEYWORDS, EXTRACTS) + """
-            SELECT chat_id, chat_date, summary, chat_sentiment, coalesce(keywords, '') AS keywords, is_in_scope,
-              coalesce(acronym_count, 0) AS acronym_count, coalesce(acronyms_found, '') AS acronyms_found,
-              user_language, total_turns
-            FROM facts LEFT JOIN chat_hits USING (chat_id) LEFT JOIN chat_languages USING (chat_id)
-            LEFT JOIN extracts USING (chat_id) LEFT JOIN sentiments USING (chat_id)
-            LEFT JOIN keywords USING (chat_id)""",
+        "chat_summary": w(TURNS, LANGUAGES, FACTS, HITS, SAFE, SENTIMENT, KEYWORDS, EXTRACTS) + OFFLINE,
+        "incremental_keywords": w(TURNS, LANGUAGES, FACTS, HITS, SAFE, SENTIMENT, KEYWORDS, EXTRACTS) + OFFLINE,
         "unseen_chats": w(SUMMARIES, FACTS) + f"""
             SELECT * FROM facts WHERE chat_id NOT IN (SELECT chat_id FROM summaries WHERE {STATUS} = 'OK')""",
         "merge_delete_join": w(RERUN) + "SELECT chat_id, chat_date FROM kept",

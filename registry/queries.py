@@ -15,8 +15,9 @@ from talkweave.plans import chat_summary, quality, reports, run
 from talkweave.schema import SUMMARY_SCHEMA, TURN_SCHEMA, conform
 from talkweave.sources import acronyms, summaries as table
 from talkweave.sources import turns as source
+from talkweave.sources.term_counts import TermCounts
 from talkweave.staging import materialise, new_path
-from talkweave.streaming.ingest import incremental_ingest
+from talkweave.streaming.ingest import incremental_ingest, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +117,48 @@ def run_pipeline(spark, sf):
     return table.read_summaries(spark, out)
 
 
+def incremental_keywords(spark, sf):
+    """Offline enrichment of turns that arrive in two drops, the second of which touches every chat of two turns or more; then refreshed."""
+    known, words = profiles(spark, sf), fx.acronyms(spark)
+    turns = materialise(conform(fx.turns(spark, sf), TURN_SCHEMA), "turns")
+
+    def summarise(touched: DataFrame, counts: TermCounts) -> DataFrame:
+        return chat_summary.chat_summary(touched, words, known, RUN_TS, counts)
+
+    inbox, store, out, state, counts = (new_path(spark, n) for n in ("inbox", "store", "table", "state", "term-counts"))
+    for drop in (turns.filter("turn_rank = 1"), turns.filter("turn_rank > 1")):
+        drop.write.mode("append").parquet(inbox)
+        incremental_ingest(spark, inbox, store, out, state, summarise, term_counts=counts).awaitTermination()
+    refresh(spark, store, out, summarise, counts)
+    return table.read_summaries(spark, out).drop("summarized_at")
+
+
+@cache
+def limited(application, spark, sf):
+    """The ledger of three runs, each limited to a third of the chats with two turns or more; a failed chat is not tried again."""
+    inbox, out = new_path(spark, "inbox"), new_path(spark, "table")
+    conform(fx.turns(spark, sf), TURN_SCHEMA).write.parquet(inbox)
+    sizes = chats.drop_null_chat(fx.turns(spark, sf)).groupBy("chat_id").agg(F.count("turn_rank").alias("turns"))
+    third = -(-sizes.filter("turns >= 2").count() // 3)
+    options = run.RunOptions(limit=third, max_tries=1, calls=FAST, run_ts=RUN_TS)
+    for _ in range(3):
+        run.run_pipeline(spark, inbox, out, fx.acronyms(spark), profiles(spark, sf), fx.stub_client, options)
+    return run.ledger_of(spark, out)
+
+
+def limited_runs(spark, sf):
+    """What became of every chat, and in which run."""
+    book = limited(spark.sparkContext.applicationId, spark, sf)
+    return book.outcomes().join(book.state("z").select("chat_id", "tries"), "chat_id").select("chat_id", "outcome", "tries", "run")
+
+
+def run_results(spark, sf):
+    """The result of each run; times and paths differ from run to run, so only their presence is given."""
+    results = limited(spark.sparkContext.applicationId, spark, sf).runs()
+    present = (F.col("files_written") > 0) & (F.col("elapsed_seconds") > 0) & (F.col("output_path") != "")
+    return results.select("run", "completed", "errors", "filtered", "skipped", "retried", present.alias("has_files_time_and_path"))
+
+
 def acronym_dim(spark, sf):
     """The words of the conversations that look like acronyms, by way of a Latin-1 CSV."""
     words = fx.load(spark, sf, "conversations").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("acronym_shrt"))
@@ -322,6 +365,9 @@ def queries() -> dict[str, Query]:
         "run_date": run_date,
         "incremental_ingest": ingest_in_two_drops,
         "run_pipeline": run_pipeline,
+        "incremental_keywords": incremental_keywords,
+        "limited_runs": limited_runs,
+        "run_results": run_results,
         "acronym_dim": acronym_dim,
         "drop_null_chat": drop_null_chat,
         "first_file_wins": first_file_wins,

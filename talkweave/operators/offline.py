@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from talkweave import rules
 from talkweave.functions import redact, text
 from talkweave.operators.chats import drop_null_chat, turn_position
+from talkweave.sources.term_counts import TermCounts
 
 TERSE_CHARS = 15
 MIN_TERM_CHARS = 4
@@ -68,15 +69,18 @@ def term_frequency(features: DataFrame) -> DataFrame:
     return terms.groupBy("chat_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def keyword_scores(frequency: DataFrame, features: DataFrame) -> DataFrame:
-    """(chat_id, term, score, position): the best TF-IDF terms of each chat.
+def keyword_scores(frequency: DataFrame, features: DataFrame, counts: TermCounts | None = None) -> DataFrame:
+    """(chat_id, term, score, position): the best TF-IDF terms of each chat, among the given chats or among all that ``counts`` has seen.
 
     A term common to very many chats is a hot key of the join only on the frequency
     side, where adaptive execution splits it. The limit per chat is applied within
     each task before the last shuffle.
     """
-    chats = features.agg(F.count_distinct("chat_id")).scalar()
-    spread = frequency.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    if counts is None:
+        chats = features.agg(F.count_distinct("chat_id")).scalar()
+        spread = frequency.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        chats, spread = F.lit(counts.chats()), counts.frequencies()
     score = F.round(F.col("tf") * F.ln(chats / F.col("df")), 6)
     best = Window.partitionBy("chat_id").orderBy(F.desc("score"), "term")
     return (

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from talkweave.operators import chats, language, model, offline
 from talkweave.schema import SUMMARY_SCHEMA, conform
+from talkweave.sources.term_counts import TermCounts
 from talkweave.staging import materialise
 
 
@@ -32,10 +33,10 @@ def chat_rows(
     return facts.join(language.chat_language(turns, profiles), "chat_id", "left")
 
 
-def offline_enrichment(features: DataFrame) -> DataFrame:
+def offline_enrichment(features: DataFrame, counts: TermCounts | None = None) -> DataFrame:
     """Summary, sentiment and keywords without a model, from stored turn features."""
     frequency = materialise(offline.term_frequency(features), "term-frequency")
-    scores = materialise(offline.keyword_scores(frequency, features), "keyword-scores")
+    scores = materialise(offline.keyword_scores(frequency, features, counts), "keyword-scores")
     return (
         offline.chat_summary_extractive(features, scores)
         .join(offline.user_sentiment(features).select("chat_id", "chat_sentiment"), "chat_id")
@@ -44,16 +45,16 @@ def offline_enrichment(features: DataFrame) -> DataFrame:
 
 
 def chat_summary(
-    turns: DataFrame, acronyms: DataFrame, profiles: DataFrame, run_ts: str | None = None
+    turns: DataFrame, acronyms: DataFrame, profiles: DataFrame, run_ts: str | None = None, counts: TermCounts | None = None
 ) -> DataFrame:
-    """Summary rows with offline enrichment.
+    """Summary rows with offline enrichment; keywords are weighed among the given chats, or among all chats that ``counts`` has seen.
 
     ``turns`` should be a stored table: question and response are read twice (features,
     acronyms), the raw columns once. Only features much smaller than the text are stored.
     """
     features = materialise(offline.turn_features(turns), "turn-features")
     rows = chat_rows(turns, features, acronyms, profiles)
-    return assemble_summary(rows, offline_enrichment(features), run_ts or now_utc())
+    return assemble_summary(rows, offline_enrichment(features, counts), run_ts or now_utc())
 
 
 def chat_summary_by_model(

@@ -88,9 +88,18 @@ class TurnStore:
         base = self.spark.read.schema(STORED_SCHEMA).option("basePath", f"{self.path}/turns")
         return base.parquet(*map(self._folder, buckets))
 
-    def turns_of(self, chats: DataFrame, buckets: list[Bucket]) -> DataFrame:
-        """The turns of ``chats`` in their buckets. A file that several runs stored counts once, as the last of them had it."""
+    def turns_of(self, chats: DataFrame, buckets: list[Bucket], but: tuple[str, int] | None = None) -> DataFrame:
+        """The turns of ``chats`` in their buckets, without those of the batch ``but`` (run, batch_id). A file that several runs stored
+        counts once, as the last of them had it."""
         rows = self.read(buckets).join(chats.select("chat_id").distinct(), "chat_id", "left_semi")
+        return self._once(rows if but is None else rows.filter((F.col("run") != but[0]) | (F.col("batch_id") != but[1])))
+
+    def everything(self) -> DataFrame:
+        """The turns of all chats."""
+        return self._once(self.spark.read.schema(STORED_SCHEMA).parquet(f"{self.path}/turns"))
+
+    @staticmethod
+    def _once(rows: DataFrame) -> DataFrame:
         kept = rows.groupBy("source_file").agg(F.max(F.struct("run", "batch_id")).alias("kept")).select("source_file", "kept.*")
         return rows.join(kept, ["source_file", "run", "batch_id"], "left_semi")
 

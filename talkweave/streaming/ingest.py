@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from talkweave.operators.offline import turn_features
 from talkweave.schema import TURN_SCHEMA, conform
 from talkweave.sources.summaries import merge_summaries
+from talkweave.sources.term_counts import TermCounts
 from talkweave.sources.turn_store import TurnStore
 from talkweave.staging import materialise
 
@@ -32,8 +34,9 @@ def incremental_ingest(
     turn_store: str,
     summary_table: str,
     checkpoint: str,
-    summarise: Callable[[DataFrame], DataFrame],
+    summarise: Callable[..., DataFrame],
     max_files: int = 1000,
+    term_counts: str | None = None,
     rows_per_bucket: int = TurnStore.rows_per_bucket,
 ) -> StreamingQuery:
     """Process the files that arrived in ``inbox`` since the last run, then stop.
@@ -41,7 +44,9 @@ def incremental_ingest(
     Each micro-batch is added to ``turn_store`` (a ``TurnStore``, of ``rows_per_bucket``); chats it touches are summarised again
     from all their stored turns and merged, and their rows on other days go. A batch repeated after a
     failure finds its turns stored and merges the same rows; a new checkpoint is a new run, whose files
-    take the place of the same files of earlier runs. ``summarise`` maps turns to summary rows.
+    take the place of the same files of earlier runs. ``summarise`` maps turns to summary rows; with ``term_counts``, a path, it is also
+    given the ``TermCounts`` there, which know the chats of all batches. Chats that no batch touches keep the keywords they got; ``refresh``
+    gives all chats those of the present counts.
     """
     run = run_id(spark, checkpoint)
 
@@ -55,7 +60,12 @@ def incremental_ingest(
         buckets = store.touched(chats)
         turns = materialise(conform(store.turns_of(chats, buckets), TURN_SCHEMA), "touched-turns")
         earlier = materialise(turns.select("chat_id", "chat_date").distinct(), "touched-days")
-        merge_summaries(session, summary_table, materialise(summarise(turns), "staged"), earlier)
+        known = []
+        if term_counts is not None:
+            known = [TermCounts(session, term_counts)]
+            before = conform(store.turns_of(chats, buckets, (run, batch_id)), TURN_SCHEMA)
+            known[0].add(turn_features(before), turn_features(turns), run, batch_id)
+        merge_summaries(session, summary_table, materialise(summarise(turns, *known), "staged"), earlier)
         store.pack(buckets)
 
     return (
@@ -69,3 +79,11 @@ def incremental_ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def refresh(
+    spark: SparkSession, turn_store: str, summary_table: str, summarise: Callable[..., DataFrame], term_counts: str
+) -> None:
+    """Summarise all stored chats again with the present counts, which makes the table equal to a batch run over the same files."""
+    turns = materialise(conform(TurnStore(spark, turn_store).everything(), TURN_SCHEMA), "all-turns")
+    merge_summaries(spark, summary_table, materialise(summarise(turns, TermCounts(spark, term_counts)), "staged"))
