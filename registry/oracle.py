@@ -467,6 +467,9 @@ def oracle_sql() -> dict[str, str]:
                 '%Y%m%d')::DATE, DATE '2026-03-01')::VARCHAR AS run_date FROM paths)
             SELECT conv_id, turn, run_date, 'out/dt_' || run_date || '/' AS output_folder FROM days""",
         "incremental_ingest": w(TURNS, FACTS, HITS, LANGUAGES, MODEL) + BY_MODEL,
+        "rejected_input": turn + """
+            SELECT CASE (turn_rank + ascii(right(chat_id, 1))) % 6 WHEN 1 THEN 'no chat_id' WHEN 2 THEN 'no turns' WHEN 3 THEN 'unreadable' WHEN 4 THEN 'unreadable'
+              ELSE 'accepted' END AS reason, count(*) AS rejected FROM turns GROUP BY ALL""",
         "run_pipeline": w(TURNS, FACTS, HITS, LANGUAGES, MODEL) + BY_MODEL + " WHERE total_turns >= 2",
         "limited_runs": w(TURNS, FACTS, MODEL) + LIMITED + "SELECT chat_id, outcome, tries, run FROM taken",
         "run_results": w(TURNS, FACTS, MODEL) + LIMITED + """
@@ -575,6 +578,9 @@ def oracle_sql() -> dict[str, str]:
         "merge_delete_join": w(RERUN) + "SELECT chat_id, chat_date FROM kept",
         "write_summaries": sums + f"SELECT {columns} FROM summaries",
         "rotate_files": sums + "SELECT count(*) AS all_rows, true AS within_cap FROM summaries",
+        "rotate_by_size": sums + f"""
+            SELECT chat_date, count(*) AS all_rows, sum(20 + {" + ".join(f"strlen(coalesce({c}::VARCHAR, ''))" for c in columns.split(", "))})::BIGINT AS all_bytes,
+              true AS within_limit, true AS "full" FROM summaries GROUP BY chat_date""",
         "merge_summaries": w(RERUN) + f"SELECT {columns} FROM kept UNION ALL SELECT {columns} FROM rerun",
         "summary_sample": sums + f"SELECT {columns} FROM summaries ORDER BY chat_id LIMIT 20",
         "summary_count": sums + "SELECT count(*) AS summary_count FROM summaries",

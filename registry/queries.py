@@ -48,6 +48,22 @@ def explode_chat_json(spark, sf):
     return source.explode_chat_json(spark, path, one_per_file=False)
 
 
+def rejected_input(spark, sf):
+    """Documents of one turn each; by its rank and chat some are cut off, have a field of another type, lack their chat or their turns. With the turns accepted."""
+    kind = (F.col("turn_rank") + F.ascii(F.right("chat_id", F.lit(1)))) % 6
+    turn = F.struct("turn_id", "turn_rank", "question", "response", "question_raw", "response_raw")
+    whole = F.to_json(F.struct(
+        F.when(kind != 1, F.concat_ws("/", *TURN)).alias("chat_id"), "chat_date", F.when(kind != 2, F.array(turn)).alias("turns")
+    ))
+    text = F.when(kind == 3, F.left(whole, F.length(whole) - 5)).when(kind == 4, '{"chat_id": {"no": "string"}, "turns": 7}').otherwise(whole)
+    path = new_path(spark, "chat-json")
+    fx.turns(spark, sf).select(text).write.text(path)
+    documents = source.chat_documents(spark, path, one_per_file=False)
+    accepted = source.explode_chat_json(spark, path, one_per_file=False).filter("chat_id IS NOT NULL")
+    taken = accepted.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("rejected"))
+    return source.reject_report(source.rejected_documents(documents)).union(taken)
+
+
 def run_date(spark, sf):
     conv = F.col("conv_id")
     day = F.lpad((conv % 40).cast("string"), 2, "0")
@@ -324,6 +340,20 @@ def rotate_files(spark, sf):
     return per_file.agg(F.sum("n").alias("all_rows"), (F.max("n") <= 5).alias("within_cap"))
 
 
+def rotate_by_size(spark, sf):
+    """Files of 2,000 bytes a day: all but the last of a day are full, give or take their largest row."""
+    path, limit = new_path(spark, "table"), 2000
+    table.write_summaries(fx.summaries(spark, sf), path, max_bytes=limit)
+    scan = source.with_source_file(spark.read.schema(SUMMARY_SCHEMA).parquet(path)).withColumn("bytes", table.row_bytes())
+    files = scan.groupBy("chat_date", "source_file").agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("row"), F.count(F.lit(1)).alias("n"))
+    largest = F.max("row")
+    return files.groupBy("chat_date").agg(
+        F.sum("n").alias("all_rows"), F.sum("bytes").alias("all_bytes"), F.count(F.lit(1)).alias("files"),
+        (F.max("bytes") <= limit + largest).alias("within_limit"),
+        (F.count_if(F.col("bytes") < limit - F.col("row")) <= 1).alias("full"),
+    ).drop("files")
+
+
 def merge_summaries(spark, sf):
     """Missing dates come as null and as empty strings, in the table and in the later run."""
     blank = F.when(F.xxhash64("chat_id") % 2 == 0, F.coalesce("chat_date", F.lit(""))).otherwise(F.col("chat_date"))
@@ -364,6 +394,7 @@ def queries() -> dict[str, Query]:
         "explode_chat_json": explode_chat_json,
         "run_date": run_date,
         "incremental_ingest": ingest_in_two_drops,
+        "rejected_input": rejected_input,
         "run_pipeline": run_pipeline,
         "incremental_keywords": incremental_keywords,
         "limited_runs": limited_runs,
@@ -428,6 +459,7 @@ def queries() -> dict[str, Query]:
         "merge_delete_join": merge_delete_join,
         "write_summaries": write_summaries,
         "rotate_files": rotate_files,
+        "rotate_by_size": rotate_by_size,
         "merge_summaries": merge_summaries,
         "summary_sample": lambda spark, sf: table.summary_sample(fx.summaries(spark, sf), 20),
         "summary_count": over_summaries(table.summary_count),

@@ -1,14 +1,16 @@
 """The summary table: Parquet partitioned by chat_date, written idempotently."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkweave.schema import SUMMARY_SCHEMA, conform
-from talkweave.staging import path_exists
+from talkweave.staging import materialise, path_exists
 
 KEYS = ["chat_id", "chat_date"]
 MAX_RECORDS_PER_FILE = 1_000_000
+#: Bytes of a row beside its values, and buckets that the rows of a file of limited size are dealt to.
+ROW_BYTES, BUCKETS_PER_FILE = 20, 4
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
@@ -34,18 +36,50 @@ def with_known_dates(rows: DataFrame) -> DataFrame:
     return rows.withColumn("chat_date", F.nullif(F.col("chat_date"), F.lit("")))
 
 
+def row_bytes() -> Column:
+    """What a row takes as text: its values and ROW_BYTES around them."""
+    return sum((F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in SUMMARY_SCHEMA.names), F.lit(ROW_BYTES)).cast("long")
+
+
+def in_files(rows: DataFrame, max_bytes: int) -> tuple[DataFrame, int]:
+    """``rows`` with ``file``, numbers from 0 to the number of files less 1: files of one day and ``max_bytes`` each, give or take a row, but
+    for a day's last. Stored, as sizes are summed first.
+
+    A row's file follows from the bytes before it: those of the buckets before its own (a few per file), plus a running sum in
+    its bucket, so no task holds a day.
+    """
+    sized = materialise(rows.withColumn("bytes", row_bytes()), "sized")
+    days = sized.groupBy(F.col("chat_date").alias("day")).agg(F.ceil(F.sum("bytes") / max_bytes).alias("files"))
+    running = F.sum("files").over(Window.orderBy("day"))  # a row per day
+    days = materialise(days.withColumn("first", running - F.col("files")), "days")
+    bucket = F.pmod(F.xxhash64(*KEYS, "summary"), F.col("files") * BUCKETS_PER_FILE)
+    placed = sized.join(days, F.col("chat_date").eqNullSafe(F.col("day"))).withColumn("bucket", bucket).drop("day")
+    buckets = placed.groupBy("first", F.col("bucket").alias("at")).agg(F.sum("bytes").alias("size"))
+    before = F.sum("size").over(Window.partitionBy("first").orderBy("at")) - F.col("size")
+    buckets = buckets.select(F.col("first").alias("of"), "at", before.alias("before"))
+    inside = F.sum("bytes").over(Window.partitionBy("first", "bucket").orderBy("chat_id", "bytes").rowsBetween(Window.unboundedPreceding, -1))
+    found = placed.withColumn("inside", F.coalesce(inside, F.lit(0))).join(buckets, (F.col("of") == F.col("first")) & (F.col("at") == F.col("bucket")))
+    file = F.col("first") + F.floor((F.col("before") + F.col("inside")) / max_bytes)
+    return found.select(*rows.columns, file.cast("int").alias("file")), days.agg(F.sum("files")).first()[0] or 0
+
+
 def write_summaries(
-    summaries: DataFrame, path: str, max_records: int = MAX_RECORDS_PER_FILE
+    summaries: DataFrame, path: str, max_records: int = MAX_RECORDS_PER_FILE, max_bytes: int | None = None
 ) -> None:
     """Replace the partitions (dates) present in ``summaries``; others stay.
 
     File sizes follow spark.sql.adaptive.advisoryPartitionSizeInBytes: the rebalance
-    merges small dates into few files and splits a large date over many tasks.
+    merges small dates into few files and splits a large date over many tasks. With ``max_bytes`` files rotate by size instead: each holds
+    rows of so many bytes (``row_bytes``), and a task writes one file.
     """
+    rows = with_known_dates(conform(summaries, SUMMARY_SCHEMA))
+    if max_bytes is None:
+        dealt = rows.hint("rebalance", "chat_date")
+    else:
+        numbered, files = in_files(rows, max_bytes)
+        dealt = numbered.repartitionById(max(files, 1), F.col("file")).drop("file")
     (
-        with_known_dates(conform(summaries, SUMMARY_SCHEMA))
-        .hint("rebalance", "chat_date")
-        .write.mode("overwrite")
+        dealt.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records)
         .partitionBy("chat_date")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from talkweave.schema import CHAT_DOCUMENT_SCHEMA, TURN_SCHEMA, conform
 
@@ -44,10 +45,42 @@ def output_folder(base: str, path: Column, default: Column | None = None) -> Col
     )
 
 
+def chat_documents(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """JSON chat documents, one per file or one per line (splittable), with ``source_file``, ``unreadable`` (the text of one that does not parse or
+    has a field of another type, else null) and ``reason`` (why it gives no turns, else null)."""
+    unreadable = "unreadable"
+    reader = spark.read.schema(StructType([*CHAT_DOCUMENT_SCHEMA, StructField(unreadable, StringType())]))
+    found = reader.option("multiLine", one_per_file).option("columnNameOfCorruptRecord", unreadable).json(path)
+    reason = (
+        F.when(F.col(unreadable).isNotNull(), "unreadable")
+        .when(F.trim(F.coalesce("chat_id", F.lit(""))) == "", "no chat_id")
+        .when(F.coalesce(F.size("turns"), F.lit(0)) < 1, "no turns")
+    )
+    return with_source_file(found).withColumn("reason", reason)
+
+
 def explode_chat_json(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    """Turn rows of JSON chat documents: one per file, or one per line (splittable)."""
-    reader = spark.read.schema(CHAT_DOCUMENT_SCHEMA).option("multiLine", one_per_file)
-    return explode_chats(reader.json(path))
+    """Turn rows of the readable JSON chat documents; ``rejected_documents`` has the others."""
+    return explode_chats(chat_documents(spark, path, one_per_file).filter("unreadable IS NULL"))
+
+
+def rejected_documents(documents: DataFrame) -> DataFrame:
+    """(source_file, chat_id, reason, document) of the ``chat_documents`` that give no turn of a known chat: their text, or what was read of them."""
+    document = F.coalesce("unreadable", F.to_json(F.struct(*CHAT_DOCUMENT_SCHEMA.names)))
+    return documents.filter(F.col("reason").isNotNull()).select("source_file", "chat_id", "reason", document.alias("document"))
+
+
+def rejected_turns(turns: DataFrame) -> DataFrame:
+    """The turns that no later step can use, with the reason."""
+    reason = F.when(F.trim(F.coalesce("chat_id", F.lit(""))) == "", "no chat_id").when(
+        F.coalesce("question", "response", "question_raw", "response_raw").isNull(), "no text"
+    )
+    return turns.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+def reject_report(rejected: DataFrame) -> DataFrame:
+    """(reason, rejected): how many were rejected for each reason."""
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("rejected"))
 
 
 def explode_chats(documents: DataFrame) -> DataFrame:

@@ -55,3 +55,31 @@ def test_chat_documents(spark, tmp_path, one_per_file):
     turns = source.explode_chat_json(spark, str(tmp_path), one_per_file)
     assert turns.schema == TURN_SCHEMA
     assert sorted(tuple(r)[:4] for r in turns.collect()) == [("c", "t1", 1, "q"), ("c", "t2", 2, "q")]
+
+
+@pytest.mark.parametrize("one_per_file", [True, False])
+def test_rejected_documents(spark, tmp_path, one_per_file):
+    turn = {"turn_id": "t1", "turn_rank": 1, "question": "q"}
+    said = [
+        json.dumps({"chat_id": "fine", "turns": [turn]}), json.dumps({"chat_id": " ", "turns": [turn]}), json.dumps({"turns": [turn]}),
+        json.dumps({"chat_id": "empty", "turns": []}), json.dumps({"chat_id": "none"}), '{"chat_id": "cut", "turns": [{"turn_id"',
+        json.dumps({"chat_id": "typed", "turns": [{**turn, "turn_rank": "one"}]}),
+    ]
+    for n, text in enumerate(said):
+        (tmp_path / f"{n}.json").write_text(text)
+    documents = source.chat_documents(spark, str(tmp_path), one_per_file)
+    rejected = source.rejected_documents(documents)
+    assert {r.source_file[-6]: r.reason for r in rejected.collect()} == {
+        "1": "no chat_id", "2": "no chat_id", "3": "no turns", "4": "no turns", "5": "unreadable", "6": "unreadable",
+    }
+    assert {r.document for r in rejected.filter("reason = 'unreadable'").collect()} == set(said[5:])
+    assert {r.reason: r.rejected for r in source.reject_report(rejected).collect()} == {"no chat_id": 2, "no turns": 2, "unreadable": 2}
+    accepted = source.explode_chat_json(spark, str(tmp_path), one_per_file).filter("trim(chat_id) <> ''").collect()
+    assert [r.chat_id for r in accepted] == ["fine"]
+
+
+def test_rejected_turns(spark):
+    rows = [("a", "t", 1, "q", None), (None, "t", 1, "q", "r"), (" ", "t", 1, None, None), ("b", "t", None, None, None)]
+    turns = spark.createDataFrame([(*r, None, None, None) for r in rows], TURN_SCHEMA.simpleString()[7:-1].replace(":", " "))
+    turns = turns.toDF("chat_id", "turn_id", "turn_rank", "question", "response", "chat_date", "question_raw", "response_raw")
+    assert {(r.chat_id, r.reason) for r in source.rejected_turns(turns).collect()} == {(None, "no chat_id"), (" ", "no chat_id"), ("b", "no text")}

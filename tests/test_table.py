@@ -139,3 +139,18 @@ def test_late_first_day_and_new_checkpoint(spark, tmp_path):
     drops = [[turn(2, "2026-01-02"), turn(3, "2026-01-02")], [turn(1, "2026-01-01")]]
     rows = run_ingest(spark, [make_turns(spark, d) for d in drops]).collect()  # ends with a new checkpoint
     assert [(r.chat_date, r.total_turns) for r in rows] == [("2026-01-01", 3)]
+
+
+def test_files_rotate_by_size(spark, tmp_path):
+    path, limit = str(tmp_path / "t"), 20_000
+    rows = [(f"c{i}", "2026-01-01" if i % 3 else None, "x" * (1500 if i % 7 == 0 else i % 90), "1") for i in range(1500)]
+    table.write_summaries(summaries(spark, rows), path, max_bytes=limit)
+    scan = source.with_source_file(spark.read.schema(SUMMARY_SCHEMA).parquet(path)).withColumn("bytes", table.row_bytes())
+    files = scan.groupBy("chat_date", "source_file").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.n for r in files) == 1500
+    for day in ("2026-01-01", None):
+        sizes = sorted(r.bytes for r in files if r.chat_date == day)
+        assert len(sizes) > 3 and sizes[-1] <= 1.1 * limit and sizes[1] >= 0.9 * limit
+    table.write_summaries(summaries(spark, rows[:1]), path, max_bytes=limit)
+    assert table.read_summaries(spark, path).filter("chat_date = '2026-01-01'").count() == 1000
+    table.write_summaries(summaries(spark, []), str(tmp_path / "none"), max_bytes=limit)
