@@ -34,9 +34,15 @@ _SECRET = r"\p{L}\p{M}\p{N}+/_=~@#$%^&*-"  # what a secret may end in
 _INSIDE = "[" + _SECRET[:-1] + ".!?:-]"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
+_ASSIGN = r"[\"']?\s{0,2}[=:]\s{0,2}[\"']?"  # quotes around the key, as in JSON, and around the value
+_LONG = _INSIDE + "{7}" + _INSIDE + "*[" + _SECRET + "]"
+# Fewer than eight characters after a key word are a word of a sentence, unless they hold a digit or follow a quote.
+_SHORT = "(?:(?=" + _INSIDE + "*[0-9])|(?<=[\"']))" + _INSIDE + "*[" + _SECRET + "]"
+
 #: kind -> pattern of a whole value, tried in this order at each place of a text
 PATTERNS = {
-    "assigned": _NO_DIGIT + r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?[\"']?" + _INSIDE + "{7}" + _INSIDE + "*[" + _SECRET + "]",
+    "assigned": _NO_DIGIT + "(?:(?i:password|passwd|pwd|passphrase)" + _ASSIGN + "(?:" + _LONG + "|" + _SHORT + ")"
+                "|(?i:secret|token|api[_-]?key)" + _ASSIGN + _LONG + ")",
     "key": _NO_DIGIT + r"A(?:KIA|SIA)[0-9A-Z]{16}(?![\p{L}\p{N}])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "iban": _NO_DIGIT + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
@@ -48,7 +54,7 @@ PATTERNS = {
     "name": r"(?<![\p{L}\p{N}])" + _TITLE + " " + _NAME + "(?: " + _NAME + ")?",
 }
 #: Texts without any of these hold no value.
-MAY_HOLD = r"[0-9@]|[=:]\s?[\"']?" + _INSIDE + r"{8}|(?<!\p{L})" + _TITLE + r" \p{Lu}"
+MAY_HOLD = r"[0-9@]|[=:]\s{0,2}[\"']?" + _INSIDE + r"{8}|[=:]\s{0,2}[\"']|(?<!\p{L})" + _TITLE + r" \p{Lu}"
 _ANY = "(?:" + "|".join(p.replace(r"\1", "{back}") for p in PATTERNS.values()) + ")"
 # The separator inside card numbers is the only group that captures.
 ANY = _ANY.replace("{back}", r"\1")
@@ -81,7 +87,7 @@ def _parts(found: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     prefix = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[^0-9])", 0)
     rest = F.substr(value, F.length(prefix) + 1)
-    lead = F.regexp_extract(value, r"^[\w-]+\s?[=:]\s?[\"']?", 0)
+    lead = F.regexp_extract(value, "^[\\w-]+" + _ASSIGN, 0)
     title = F.regexp_extract(value, r"^[\p{L}.]+ ", 0)
     names = F.split(F.substr(value, F.length(title) + 1), " ")
     male = F.regexp_like(title, F.lit("^(?:" + "|".join(MALE) + r")\.? $"))

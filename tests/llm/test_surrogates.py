@@ -142,3 +142,22 @@ def test_names_grow_with_the_attempts(spark):
         {r.kind: r.made for r in frame.select("kind", surrogates.candidate(F.col("kind"), F.col("norm"), "k", n).alias("made")).collect()} for n in (0, 3)
     ]
     assert len(made[0]["family"]) == 10 and len(made[1]["family"]) == 16 and len(made[1]["email"]) > len(made[0]["email"])
+
+
+def test_secrets_of_any_length(spark):
+    said = {
+        "password: hunter2": "hunter2", '{"password": "S3cretS3cretLong", "n": 1}': "S3cretS3cretLong", "PWD=a1": "a1", "passwd = 'abc'": "abc",
+        'password =  "x"': '"x"', "passphrase: correct-horse-battery": "correct-horse-battery", '"token":"abcdefgh"': "abcdefgh",
+        "api_key:  Zx81Zx81Zx81": "Zx81Zx81Zx81", "my secret = " + "q7" * 300 + " end": "q7" * 300,
+    }
+    for (text, secret), new in zip(said.items(), replaced(spark, *said)):
+        head, tail = text.split(secret)
+        assert secret not in new and new.startswith(head) and new.endswith(tail), (text, new)
+
+
+def test_sentences_are_left_alone(spark):
+    said = [
+        "the password: never tell it", "a token: 12 of them", "her secret: love", "Password: ask me", "secrets = none", "api key: see below",
+        "passwordless: 1 time", "the pwd command: 3 lines", "token",
+    ]
+    assert replaced(spark, *said) == said
