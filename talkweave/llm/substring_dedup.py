@@ -1,16 +1,21 @@
-"""Duplicate word spans by relative Lempel-Ziv factors.
+"""Duplicate word spans by relative Lempel-Ziv factors of ``size`` words or more.
 
-Every document is a reference for all later ones (by doc_id, then by row). References are indexed as blocks, the
-chunks of :mod:`talkweave.llm.chunks`. A document is factored greedily, left to right: a factor begins at a window of
-``size`` words that also starts earlier, and goes on while the following windows have the same source; a window
-at which the source changes begins the next factor, so windows across factor boundaries are looked up like all others.
+Every document is a reference for all later ones (by doc_id, then by row) and, before a word, for itself. References are indexed as
+blocks, the chunks of :mod:`talkweave.llm.chunks`: the index gives the first place, document and word, at which a window of ``size`` words stands.
+A document is factored greedily, left to right. A factor begins at a window that also starts earlier and goes on while the
+first places of the following windows follow each other, so it stands as one run in its source. The next factor begins at the last repeated window that
+covers the word at the factor's border or, where none does, at the next repeated window; words in no factor are literals and stay.
 
-Two questions find the sources without shuffling all windows. Each window has an anchor, its smallest run of
+A factor is as long as the first places allow; where one text has several earlier copies, another choice of source could be longer, which changes
+the number of factors and no removed word. Windows are equal if 128 bits of hash are, as texts are never brought side by side.
+
+Two questions find the places without shuffling all windows. Each window has an anchor, its smallest run of
 ANCHOR words by hash, which equal windows share. The first question asks which anchors occur more than once;
-only windows with such an anchor can repeat, and the second question asks for the first document with
-each of these, by a 128-bit hash of its words.
+only windows with such an anchor can repeat, and the second question asks for the first place of
+each of these.
 """
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,19 +102,26 @@ def _candidates(parts: _Parts, answers: list[bytes] | None):
 
 
 class _Sorted:
-    """Candidates of a chunk by hash; the first of each run of equal ones is the earliest in the chunk."""
+    """Candidates of a chunk by hash; the first of each run of equal ones is the earliest in the chunk, whose place is ``places``."""
 
     def __init__(self, parts: _Parts, answers: list[bytes] | None):
-        self.a, self.b, self.text, self.start = _candidates(parts, answers)
-        rank = parts.chunk.rank
-        place = rank[self.text] if len(self.text) else self.text
-        self.order = np.lexsort((self.start, place, self.b, self.a))
-        a, b = self.a[self.order], self.b[self.order]
-        first = np.ones(len(a), bool)
-        first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        self.first = first
-        self.keys, self.more = a[first], b[first]
-        self.ids = parts.chunk.ids[self.text[self.order][first]] if len(a) else np.zeros(0, np.int64)
+        chunk = parts.chunk
+        a, b, text, start = _candidates(parts, answers)
+        order = np.lexsort((start, chunk.rank[text] if len(text) else text, b, a))
+        a, b, self.text, self.start = a[order], b[order], text[order], start[order]
+        self.first = np.ones(len(a), bool)
+        self.first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        self.keys, self.more = a[self.first], b[self.first]
+        text, start = self.text[self.first], self.start[self.first]
+        ids = chunk.ids[text] if len(a) else text
+        self.places = np.stack([ids, np.full(len(ids), chunk.chunk, np.int64), text, start])
+
+    def sources(self, elsewhere: np.ndarray) -> np.ndarray:
+        """For each candidate, the place where its window starts first; the chunk is NO_SOURCE if that is the candidate's own."""
+        group = np.cumsum(self.first) - 1
+        out = np.where(elsewhere[1] != NO_SOURCE, elsewhere, self.places)[:, group]
+        out[1, self.first & (elsewhere[1, group] == NO_SOURCE)] = NO_SOURCE
+        return out
 
 
 def _reply_repeated(_, keys: list[np.ndarray], mores: list[bytes]) -> list[bytes]:
@@ -124,39 +136,50 @@ def _reply_repeated(_, keys: list[np.ndarray], mores: list[bytes]) -> list[bytes
 
 
 def _reply_first(numbers: list[int], keys: list[np.ndarray], mores: list[bytes]) -> list[bytes]:
-    """For each window, the doc_id of its first document if that is in another chunk, else NO_SOURCE."""
-    second, ids = [], []
+    """For each window, its first place if that is in another chunk, else NO_SOURCE for the chunk."""
+    second, places = [], []
     for k, m in zip(keys, mores):
         n = len(k) * 8
         second.append(np.frombuffer(m[:n], np.uint64))
-        ids.append(chunks.unpack(m[n:], np.int64))
-    a, b, ids = np.concatenate(keys), np.concatenate(second), np.concatenate(ids)
-    number = np.repeat(np.array(numbers, np.int64), [len(k) for k in keys])
-    order = np.lexsort((number, ids, b, a))
+        places.append(chunks.unpack(m[n:], np.int64).reshape(len(PLACE), -1))
+    a, b, places = np.concatenate(keys), np.concatenate(second), np.concatenate(places, axis=1)
+    order = np.lexsort((places[1], places[0], b, a))
     first = np.ones(len(a), bool)
     first[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-    leader = order[np.flatnonzero(first)][np.cumsum(first) - 1]
-    source = np.full(len(a), NO_SOURCE, np.int64)
-    source[order] = np.where(leader == order, NO_SOURCE, ids[leader])
+    leader = np.empty(len(a), np.int64)
+    leader[order] = order[np.flatnonzero(first)][np.cumsum(first) - 1]
+    found = places[:, leader]
+    found[1, leader == np.arange(len(a))] = NO_SOURCE
     cuts = np.cumsum([len(k) for k in keys])[:-1]
-    return [chunks.pack(part) for part in np.split(source, cuts)]
+    return [chunks.pack(part) for part in np.split(found, cuts, axis=1)]
 
 
+#: A place in the corpus: document, chunk, text of the chunk, word of the text.
+PLACE = ("doc_id", "chunk", "text", "start")
 NO_SOURCE = np.iinfo(np.int64).min
-SPANS = pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64()), ("source", pa.int64())]))
-OUT_SCHEMA = "doc_id long, n_words long, n_removed long, spans array<struct<first:long,n:long,source:long>>, kept string"
-
-
-def _factors(starts: np.ndarray, sources: np.ndarray, size: int) -> list[dict]:
-    """Greedy factors of a text from its duplicate windows, sorted by start."""
-    new = np.ones(len(starts), bool)
-    new[1:] = (starts[1:] != starts[:-1] + 1) | (sources[1:] != sources[:-1])
-    at = np.flatnonzero(new)
-    last = np.append(at[1:], len(starts)) - 1
-    return [
-        {"first": int(a), "n": int(b - a) + size, "source": None if s == chunks.NO_ID else int(s)}
-        for a, b, s in zip(starts[at], starts[last], sources[at])
-    ]
+SPANS = pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64()), ("source", pa.int64()), ("at", pa.int64())]))
+OUT_SCHEMA = (
+    "doc_id long, n_words long, n_removed long, spans array<struct<first:long,n:long,source:long,at:long>>, kept string"
+)
+
+
+def _factors(starts: np.ndarray, places: np.ndarray, size: int) -> list[dict]:
+    """Greedy factors of a text from its repeated windows, sorted by start, and the first place of each."""
+    breaks = np.ones(len(starts), bool)
+    moved = (starts[1:] != starts[:-1] + 1) | (places[3, 1:] != places[3, :-1] + 1)
+    breaks[1:] = moved | (places[1, 1:] != places[1, :-1]) | (places[2, 1:] != places[2, :-1])
+    ends, begin = [*np.flatnonzero(breaks)[1:].tolist(), len(starts)], starts.tolist()
+    out, i = [], 0
+    while i < len(begin):
+        last = ends[bisect_right(ends, i)] - 1
+        border = begin[last] + size
+        source = int(places[0, i])
+        out.append({
+            "first": begin[i], "n": border - begin[i], "source": None if source == chunks.NO_ID else source, "at": int(places[3, i]),
+        })
+        # The last window over the border, if one begins after this factor's last; else the next one.
+        i = max(last + 1, bisect_right(begin, border) - 1)
+    return out
 
 
 def remove_duplicates(docs: DataFrame, size: int = 20, anchor: int = 8) -> DataFrame:
@@ -164,7 +187,7 @@ def remove_duplicates(docs: DataFrame, size: int = 20, anchor: int = 8) -> DataF
 
     A word is removed if a window of ``size`` words that covers it also starts earlier: in a smaller doc_id, in an
     earlier row of the same doc_id, or earlier in the text. Windows are judged on the input. ``spans`` are factors (first word, number of words,
-    doc_id of the source). Null and empty texts have no words; rows with a null doc_id come last; of repeated rows the first stays;
+    doc_id of the source, its first word there); they cover the removed words and may overlap at borders. Null and empty texts have no words; rows with a null doc_id come last; of repeated rows the first stays;
     texts shorter than a window stay whole; an empty table gives an empty result; other columns are ignored.
     """
     if not 0 < anchor <= size:
@@ -179,7 +202,7 @@ def remove_duplicates(docs: DataFrame, size: int = 20, anchor: int = 8) -> DataF
 
     def second_question(chunk: chunks.Chunk, answers):
         found = _Sorted(_Parts(chunk, size, anchor), answers)
-        return found.keys, lambda lo, hi: found.more[lo:hi].tobytes() + chunks.pack(found.ids[lo:hi])
+        return found.keys, lambda lo, hi: found.more[lo:hi].tobytes() + chunks.pack(found.places[:, lo:hi])
 
     anchored = chunks.answer(chunks.ask(stored, first_question, chunks.buckets_for(total // 30, spark)), _reply_repeated)
     anchored = materialise(anchored, "anchors")
@@ -198,23 +221,21 @@ def remove_duplicates(docs: DataFrame, size: int = 20, anchor: int = 8) -> DataF
 def _kept(parts: _Parts, repeated: list[bytes] | None, answers: list[bytes] | None, size: int) -> Iterator[pa.RecordBatch]:
     found = _Sorted(parts, repeated)
     ids = parts.chunk.ids
-    elsewhere = np.concatenate([np.zeros(0, np.int64), *(chunks.unpack(a, np.int64) for a in answers or [])])
-    group = np.cumsum(found.first) - 1
-    source = np.full(len(group), NO_SOURCE, np.int64)
-    if len(group):
-        other, own = elsewhere[group], found.ids[group]
-        source = np.where(other != NO_SOURCE, other, np.where(found.first, NO_SOURCE, own))
-    again = source != NO_SOURCE
-    text, start = found.text[found.order][again], found.start[found.order][again]
-    by_place = np.lexsort((start, text))
-    text, start, source = text[by_place], start[by_place], source[again][by_place]
+    told = [chunks.unpack(a, np.int64).reshape(len(PLACE), -1) for a in answers or []]
+    source = found.sources(np.concatenate([np.zeros((len(PLACE), 0), np.int64), *told], axis=1))
+    again = np.flatnonzero(source[1] != NO_SOURCE)
+    again = again[np.lexsort((found.start[again], found.text[again]))]
+    text, start, source = found.text[again], found.start[again], source[:, again]
     for words in arrays.words_of(parts.chunk.texts, WORDS):
         n = len(words.bounds) - 1
-        lo, hi = np.searchsorted(text, [words.first, words.first + n])
+        cuts = np.searchsorted(text, np.arange(words.first, words.first + n + 1))
+        spans = [[] for _ in range(n)]
         cover = np.zeros(len(words) + 1, np.int64)
-        at = start[lo:hi] + words.bounds[text[lo:hi] - words.first]
-        np.add.at(cover, at, 1)
-        np.add.at(cover, at + size, -1)
+        for i in np.flatnonzero(np.diff(cuts)):
+            spans[i] = _factors(start[cuts[i]:cuts[i + 1]], source[:, cuts[i]:cuts[i + 1]], size)
+            at = np.array([f["first"] for f in spans[i]]) + words.bounds[i]
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + np.array([f["n"] for f in spans[i]]), -1)
         keep = np.cumsum(cover[:-1]) == 0
         kept_before = np.zeros(len(words) + 1, np.int64)
         np.cumsum(keep, out=kept_before[1:])
@@ -222,10 +243,6 @@ def _kept(parts: _Parts, repeated: list[bytes] | None, answers: list[bytes] | No
         left = arrays.Words(words.first, words.data, words.start[keep], words.end[keep], bounds)
         joined, places = arrays.normalised(left)
         kept = [joined[places[a]:max(places[a], places[b] - 1)] for a, b in zip(bounds[:-1], bounds[1:])]
-        spans = [[] for _ in range(n)]
-        cuts = np.searchsorted(text[lo:hi], np.arange(words.first, words.first + n + 1)) + lo
-        for i in np.flatnonzero(np.diff(cuts)):
-            spans[i] = _factors(start[cuts[i]:cuts[i + 1]], source[cuts[i]:cuts[i + 1]], size)
         own = ids[words.first:words.first + n]
         n_words = np.diff(words.bounds)
         yield pa.RecordBatch.from_arrays([

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from talkweave.llm import chunks, queries, substring_dedup
@@ -46,10 +47,21 @@ def test_random_repeats(spark, monkeypatch, size, anchor):
         assert (r.n_words, r.n_removed, r.kept) == (n, gone, kept)
         covered = {k for s in r.spans for k in range(s.first, s.first + s.n)}
         assert len(covered) == gone
+        words = dict(docs)
         for s in r.spans:
-            assert s.n >= size and s.source <= i
-            whole = " ".join(docs[[d for d, _ in docs].index(i)][1].split()[s.first:s.first + size])
-            assert whole in " ".join(docs[[d for d, _ in docs].index(s.source)][1].split())
+            own, source = words[i].split(), words[s.source].split()
+            assert s.n >= size and (s.source, s.at) < (i, s.first)
+            assert own[s.first:s.first + s.n] == source[s.at:s.at + s.n]
+
+
+def test_a_passage_is_one_factor_and_no_word_at_a_border_is_lost():
+    """Sources that follow each other make one factor; a window over the border begins the next."""
+    places = np.array([[1] * 8, [0] * 8, [3] * 8, [5, 6, 7, 8, 40, 41, 42, 90]])
+    starts = np.array([2, 3, 4, 5, 6, 7, 8, 30])
+    got = substring_dedup._factors(starts, places, 4)
+    assert [(f["first"], f["n"], f["at"]) for f in got] == [(2, 7, 5), (8, 4, 42), (30, 4, 90)]
+    covered = {k for f in got for k in range(f["first"], f["first"] + f["n"])}
+    assert covered == {k for s in starts for k in range(s, s + 4)}
 
 
 def test_messy(spark, messy, nothing):
