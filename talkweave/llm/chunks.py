@@ -105,20 +105,26 @@ def buckets_for(keys: int, spark) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-keys // BUCKET_KEYS))
 
 
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key: an even share of the hash space."""
+    return (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
 def by_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's part of the sorted ``keys`` begins, and the end."""
-    edges = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+    """Where each bucket's part of the sorted ``keys`` begins, for buckets that have one, and the end."""
+    return same_runs(bucket_of(keys, buckets))
 
 
 def questions(chunk: int, keys: np.ndarray, more: Callable, buckets: int) -> pa.RecordBatch:
-    """A chunk's rows: sorted ``keys`` cut at the buckets, and ``more(lo, hi)`` as bytes about each cut."""
+    """A chunk's rows: sorted ``keys`` cut at the buckets they fall in, and ``more(lo, hi)`` as bytes about each cut.
+
+    Buckets without a key of the chunk cost nothing, however many there are.
+    """
     cuts = by_bucket(keys, buckets)
-    full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
     return pa.RecordBatch.from_arrays([
-        pa.array(full, pa.int32()), pa.array([chunk] * len(full), pa.int64()),
-        pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary()),
-        pa.array([more(cuts[b], cuts[b + 1]) for b in full], pa.binary()),
+        pa.array(bucket_of(keys[cuts[:-1]], buckets).astype(np.int32)), pa.array(np.full(len(cuts) - 1, chunk, np.int64)),
+        pa.array([keys[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary()),
+        pa.array([more(lo, hi) for lo, hi in zip(cuts, cuts[1:])], pa.binary()),
     ], ["bucket", "chunk", "keys", "more"])
 
 

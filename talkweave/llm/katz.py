@@ -158,8 +158,7 @@ def _reply_sums(_, keys: list[np.ndarray], mores: list[bytes]) -> list[bytes]:
 def _counts(answers: list[bytes] | None, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Totals and ownership of a chunk's keys from its answers."""
     totals, own = [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
-    sizes = [n for n in np.diff(cuts) if n]
-    for a, n in zip(answers or [], sizes):
+    for a, n in zip(answers or [], np.diff(cuts)):
         totals.append(chunks.unpack(a[:len(a) - n], np.int64))
         own.append(np.frombuffer(a[len(a) - n:], np.uint8))
     return np.concatenate(totals), np.concatenate(own).astype(bool)
