@@ -211,12 +211,17 @@ def trigram_rows(source: str, keys: str, x: str, weight: str = "1") -> str:
 
 
 CODES = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in rules.LANGUAGE_CODES.items())
-PROFILES = f"""
-profile_counts AS ({trigram_rows("(SELECT * FROM documents WHERE doc_id % 2 = 0)", "lang", "text")}),
-profiles AS (
+def profiles(name: str, source: str) -> str:
+    """CTEs ending in ``name`` (language, trigram, profile_rank), trained on ``source``."""
+    return f"""
+{name}_counts AS ({trigram_rows(source, "lang", "text")}),
+{name} AS (
   SELECT CASE lang {CODES} END AS language, trigram, profile_rank FROM (
     SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, trigram) AS profile_rank
-    FROM profile_counts WHERE lang IN ({any_of(rules.LANGUAGE_CODES)})) WHERE profile_rank <= 300)"""
+    FROM {name}_counts WHERE lang IN ({any_of(rules.LANGUAGE_CODES)})) WHERE profile_rank <= 300)"""
+
+
+PROFILES = profiles("profiles", "(SELECT * FROM documents WHERE doc_id % 2 = 0)")
 
 
 def ngram(name: str, source: str, keys: str, x: str) -> str:
@@ -229,6 +234,31 @@ def ngram(name: str, source: str, keys: str, x: str) -> str:
 {name} AS (SELECT {keys}, arg_min(language, (-score, language)) AS detected FROM {name}_s GROUP BY {keys})"""
 
 
+def closest(name: str, source: str, keys: str, x: str) -> str:
+    """CTEs ending in ``name`` (keys, language, share, margin, band): the best language of x per key and how near it is."""
+    return f"""
+{name}_n AS ({trigram_rows(source, keys, x)}),
+{name}_r AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY n DESC, trigram) AS text_rank FROM {name}_n),
+{name}_s AS (SELECT {keys}, language, sum(300 - abs(text_rank - profile_rank))::BIGINT AS score
+  FROM {name}_r JOIN profiles USING (trigram) GROUP BY {keys}, language HAVING score > 0),
+{name}_o AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY score DESC, language) AS place FROM {name}_s),
+{name}_b AS (SELECT {keys}, max(language) FILTER (place = 1) AS language, max(score) AS score,
+  coalesce(max(score) FILTER (place = 2), 0) AS second FROM {name}_o GROUP BY {keys}),
+{name} AS (SELECT {keys}, language, 1000 * score // (300 * n) AS share, 1000 * (score - second) // score AS margin, length(bin(n)) - 1 AS band
+  FROM {name}_b JOIN (SELECT {keys}, count(*) AS n FROM {name}_r GROUP BY {keys}) USING ({keys}))"""
+
+
+OPEN_SET = (
+    profiles("profiles", "(SELECT * FROM documents WHERE doc_id % 2 = 0 AND lang <> 'es')"),
+    f"cleaned AS (SELECT doc_id, lang, {clean('text')} AS x FROM documents)",
+    """cut AS (SELECT doc_id, size, lang, left(x, size) AS x FROM cleaned, (SELECT unnest([25, 50, 100, 200]) AS size)
+  WHERE doc_id % 4 = 1 AND lang <> 'es')""",
+    closest("held", "cut", "doc_id, size", "x"),
+    f"""limits AS (SELECT language, band, quantile_disc(share, 0.02) AS least_share, quantile_disc(margin, 0.02) AS least_margin
+  FROM held JOIN cut USING (doc_id, size) WHERE language = CASE lang {CODES} END GROUP BY language, band)""",
+    closest("best", "cleaned", "doc_id", "x"),
+)
+
 LANGUAGES = f"""{PROFILES},
 cleaned AS (SELECT chat_id, turn_id, {clean('question_raw')} AS q, {clean('response_raw')} AS r FROM turns),
 ruled AS (SELECT *, {by_rule('q')} AS q_rule, {by_rule('r')} AS r_rule FROM cleaned),
@@ -524,6 +554,9 @@ def oracle_sql() -> dict[str, str]:
             f"cleaned AS (SELECT doc_id, lang, {clean('text')} AS x FROM documents)",
             ngram("best", "cleaned", "doc_id", "x"),
         ) + "SELECT doc_id, lang, detected FROM cleaned LEFT JOIN best USING (doc_id)",
+        "lang_open_set": w(*OPEN_SET) + """SELECT doc_id, lang, found.language AS detected FROM cleaned
+            LEFT JOIN (SELECT doc_id, language FROM best JOIN limits USING (language, band)
+              WHERE share >= least_share AND margin >= least_margin) AS found USING (doc_id)""",
         "turn_language": w(TURNS, LANGUAGES) + "SELECT *, 1 AS votes FROM turn_languages",
         "chat_language": w(TURNS, LANGUAGES) + "SELECT * FROM chat_languages",
         "chat_text": turn + f"SELECT chat_id, {CHAT_TEXT} AS chat_text FROM turns GROUP BY chat_id",

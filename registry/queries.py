@@ -242,6 +242,16 @@ def lang_ngram(spark, sf):
     return found.select("doc_id", "lang", "detected")
 
 
+def lang_open_set(spark, sf):
+    """Profiles of every language but Spanish, trained on even ids, limits from every second odd id; Spanish texts get null."""
+    documents = fx.load(spark, sf, "documents").select("doc_id", "lang", lang.lang_clean(F.col("text")).alias("text"))
+    known = F.col("lang") != "es"
+    raw = fx.load(spark, sf, "documents").filter(known & (F.col("doc_id") % 2 == 0))
+    some = materialise(language.train_profiles(raw), "profiles")
+    limits = materialise(language.language_limits(documents.filter(known & (F.col("doc_id") % 4 == 1)), some), "limits")
+    return language.open_language(documents, "text", some, "detected", limits).select("doc_id", "lang", "detected")
+
+
 # --- chats ---
 
 
@@ -428,6 +438,7 @@ def queries() -> dict[str, Query]:
         "lang_hinglish": on_scripted("language", lang.lang_hinglish),
         "lang_short_ascii": over_turns("language", lambda q, r: lang.lang_short_ascii(lang.lang_clean(q))),
         "lang_ngram": lang_ngram,
+        "lang_open_set": lang_open_set,
         "turn_language": lambda spark, sf: language.turn_language(
             fx.turns(spark, sf), profiles(spark, sf), TURN
         ),

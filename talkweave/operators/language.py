@@ -14,6 +14,9 @@ from talkweave.functions.text import letter_words
 from talkweave.staging import materialise
 
 PROFILE_SIZE = 300
+KEY = ["text_hash", "scored_text"]
+#: Characters at which held-out texts are cut, so that limits exist for short texts too.
+CUTS = (25, 50, 100, 200)
 
 
 def train_profiles(labelled: DataFrame) -> DataFrame:
@@ -44,14 +47,11 @@ def train_profiles(labelled: DataFrame) -> DataFrame:
     )
 
 
-def ngram_language(texts: DataFrame, column: str, profiles: DataFrame, out: str) -> DataFrame:
-    """``texts`` with ``out``: the best language of ``column``, null if no trigram is known.
+def _language_scores(texts: DataFrame, column: str, profiles: DataFrame) -> DataFrame:
+    """(text_hash, scored_text, language, score) of each distinct text: the sum of 300 - |rank difference| over its known trigrams.
 
-    Each distinct text is scored once; ``column`` must not be null. All steps group by
-    the text, so one shuffle serves them; its hash comes first to keep sorts off the
-    long strings. Score of a language: sum of 300 - |rank difference|.
+    All steps group by the text, so one shuffle serves them; its hash comes first to keep sorts off the long strings.
     """
-    key = ["text_hash", "scored_text"]
     distinct = texts.select(F.col(column).alias("scored_text")).distinct()
     counted = (
         distinct.select(
@@ -59,32 +59,95 @@ def ngram_language(texts: DataFrame, column: str, profiles: DataFrame, out: str)
             "scored_text",
             F.explode(rule.trigrams(F.col("scored_text"))).alias("trigram"),
         )
-        .groupBy(*key, "trigram")
+        .groupBy(*KEY, "trigram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    by_count = Window.partitionBy(*key).orderBy(F.desc("n"), "trigram")
+    by_count = Window.partitionBy(*KEY).orderBy(F.desc("n"), "trigram")
     ranked = counted.withColumn("text_rank", F.row_number().over(by_count))
     closeness = PROFILE_SIZE - F.abs(F.col("text_rank") - F.col("profile_rank"))
-    scored = (
+    return (
         ranked.join(profiles, "trigram")
-        .groupBy(*key, "language")
+        .groupBy(*KEY, "language")
         .agg(F.sum(closeness).alias("score"))
     )
-    best = scored.groupBy(*key).agg(
+
+
+def ngram_language(texts: DataFrame, column: str, profiles: DataFrame, out: str) -> DataFrame:
+    """``texts`` with ``out``: the best language of ``column``, null if no trigram is known.
+
+    Each distinct text is scored once; ``column`` must not be null.
+    """
+    best = _language_scores(texts, column, profiles).groupBy(*KEY).agg(
         F.min_by("language", F.struct(-F.col("score"), F.col("language"))).alias(out)
     )
-    return texts.join(best, F.col(column) == F.col("scored_text"), "left").drop(*key)
+    return texts.join(best, F.col(column) == F.col("scored_text"), "left").drop(*KEY)
+
+
+def closest_language(texts: DataFrame, column: str, profiles: DataFrame) -> DataFrame:
+    """(scored_text, language, share, margin, band) of each distinct text with a positive score.
+
+    ``share`` is the score in thousandths of what the text would get if each of its trigrams stood at its own rank in the profile, ``margin`` the lead over
+    the second language in thousandths of the score. Both depend on the length: ``band`` is the number of distinct trigrams as a power of two.
+    """
+    scores = _language_scores(texts, column, profiles).filter(F.col("score") > 0)
+    order = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "language")))
+    best = scores.groupBy(*KEY).agg(order.alias("order")).select(
+        "scored_text",
+        F.col("order")[0].language.alias("language"),
+        (-F.col("order")[0].minus).alias("score"),
+        F.coalesce(-F.get("order", F.lit(1)).minus, F.lit(0)).alias("second"),
+        F.size(F.array_distinct(rule.trigrams(F.col("scored_text")))).alias("n"),
+    )
+    return best.select(
+        "scored_text", "language",
+        F.expr(f"1000 * score div ({PROFILE_SIZE} * n)").alias("share"),
+        F.expr("1000 * (score - second) div score").alias("margin"),
+        (F.length(F.bin("n")) - 1).alias("band"),
+    )
+
+
+def language_limits(held_out: DataFrame, profiles: DataFrame, loss: float = 0.02) -> DataFrame:
+    """(language, band, least_share, least_margin): what all but ``loss`` of the rightly named held-out texts reach, for each of the two.
+
+    ``held_out`` has the columns text (cleaned, not null) and lang (ISO code), of texts that no profile was trained on. At most one row per
+    language and power of two.
+    """
+    names = F.create_map(*[F.lit(x) for pair in rules.LANGUAGE_CODES.items() for x in pair])
+    cut = held_out.select(
+        names[F.col("lang")].alias("true_language"), F.explode(F.array(*[F.left("text", F.lit(n)) for n in CUTS])).alias("cut")
+    )
+    found = cut.join(closest_language(cut, "cut", profiles), F.col("cut") == F.col("scored_text"))
+    return found.filter(F.col("true_language") == F.col("language")).groupBy("language", "band").agg(
+        *[F.expr(f"percentile_disc({loss}) WITHIN GROUP (ORDER BY {c})").alias(f"least_{c}") for c in ("share", "margin")]
+    )
+
+
+def open_language(texts: DataFrame, column: str, profiles: DataFrame, out: str, limits: DataFrame) -> DataFrame:
+    """``texts`` with ``out``: the best language of ``column`` if it is as close, and leads by as much, as held-out texts of that language and length.
+
+    Null otherwise: for texts of languages without a profile, without a known trigram, or shorter than any held-out text of ``language_limits``.
+    ``column`` must not be null.
+    """
+    near = (F.col("share") >= F.col("least_share")) & (F.col("margin") >= F.col("least_margin"))
+    best = closest_language(texts, column, profiles).join(limits, ["language", "band"]).filter(near)
+    found = best.select("scored_text", F.col("language").alias(out))
+    return texts.join(found, F.col(column) == F.col("scored_text"), "left").drop("scored_text")
 
 
 def turn_language(
-    turns: DataFrame, profiles: DataFrame, keys: list[str], strip_punctuation: bool = False
+    turns: DataFrame, profiles: DataFrame, keys: list[str], strip_punctuation: bool = False, limits: DataFrame | None = None
 ) -> DataFrame:
     """(keys, language, votes): turns per language, question first, response second.
 
-    Turns that rules decide carry no text beyond the first projection and collapse
+    With ``limits`` (``language_limits``) a text in a language without a profile is unknown, as one without a known trigram is. Turns that rules decide carry no text beyond the first projection and collapse
     to one row per key before the shuffle. The rest is stored and scored.
     """
 
+    def by_score(texts, column, out):
+        if limits is None:
+            return ngram_language(texts, column, profiles, out)
+        return open_language(texts, column, profiles, out, limits)
+
     def rule_of(cleaned):
         return rule.rule_language(cleaned, strip_punctuation)
 
@@ -119,7 +182,7 @@ def turn_language(
     first = votes.filter(opened).withColumn("text", F.coalesce("ask", "reply"))
     named = F.coalesce("by_text", "r_rule")
     asked = materialise(
-        ngram_language(first, "text", profiles, "by_text").select(
+        by_score(first, "text", "by_text").select(
             *keys,
             named.alias("language"),
             # A question no profile knows leaves the decision to the response.
@@ -129,7 +192,7 @@ def turn_language(
         "language-asked",
     )
     second = asked.filter(opened & F.col("reply").isNotNull()).drop("language")
-    replied = ngram_language(second, "reply", profiles, "language")
+    replied = by_score(second, "reply", "language")
     columns = [*keys, "language", "votes"]
     parts = [votes.filter(~opened), asked.filter(~opened | F.col("reply").isNull()), replied]
     whole = reduce(DataFrame.unionByName, [part.select(columns) for part in parts])
@@ -140,10 +203,12 @@ def turn_language(
     )
 
 
-def chat_language(turns: DataFrame, profiles: DataFrame, strip_punctuation: bool = False) -> DataFrame:
+def chat_language(
+    turns: DataFrame, profiles: DataFrame, strip_punctuation: bool = False, limits: DataFrame | None = None
+) -> DataFrame:
     """(chat_id, user_language): the most frequent turn language, ties by name."""
     named = turns.filter(F.col("chat_id").isNotNull())
-    votes = turn_language(named, profiles, ["chat_id"], strip_punctuation)
+    votes = turn_language(named, profiles, ["chat_id"], strip_punctuation, limits)
     return votes.groupBy("chat_id").agg(
         F.min_by("language", F.struct(-F.col("votes"), F.col("language"))).alias("user_language")
     )
