@@ -1,10 +1,10 @@
-"""The summary table: Parquet partitioned by chat_date, written idempotently."""
+"""The summary table: Parquet by chat_date, written idempotently and all days at once."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkweave.schema import SUMMARY_SCHEMA, conform
+from talkweave.sources.published import Days, PublishedDays
 from talkweave.staging import materialise, path_exists
 
 KEYS = ["chat_id", "chat_date"]
@@ -14,13 +14,17 @@ ROW_BYTES, BUCKETS_PER_FILE = 20, 4
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
-    """The table at ``path``, empty where there is none yet."""
-    try:
-        return spark.read.schema(SUMMARY_SCHEMA).parquet(path).select(*SUMMARY_SCHEMA.names)
-    except AnalysisException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """The table at ``path`` as last published, empty where there is none yet."""
+    table = PublishedDays(spark, path)
+    days = table.current()
+    return _of_folders(spark, table, table.unlisted() if days is None else table.folders(days))
+
+
+def _of_folders(spark: SparkSession, table: PublishedDays, folders: list[str]) -> DataFrame:
+    if not folders:
         return spark.createDataFrame([], SUMMARY_SCHEMA)
+    rows = spark.read.schema(SUMMARY_SCHEMA).option("basePath", table.path).parquet(*folders)
+    return rows.select(*SUMMARY_SCHEMA.names)
 
 
 def table_files(spark: SparkSession, path: str) -> DataFrame:
@@ -66,25 +70,32 @@ def in_files(rows: DataFrame, max_bytes: int) -> tuple[DataFrame, int]:
 def write_summaries(
     summaries: DataFrame, path: str, max_records: int = MAX_RECORDS_PER_FILE, max_bytes: int | None = None
 ) -> None:
-    """Replace the partitions (dates) present in ``summaries``; others stay.
+    """Replace the partitions (dates) present in ``summaries``, all at once; others stay.
 
     File sizes follow spark.sql.adaptive.advisoryPartitionSizeInBytes: the rebalance
     merges small dates into few files and splits a large date over many tasks. With ``max_bytes`` files rotate by size instead: each holds
     rows of so many bytes (``row_bytes``), and a task writes one file.
     """
+    table = PublishedDays(summaries.sparkSession, path)
+    table.publish(_stored(summaries, table, max_records, max_bytes))
+
+
+def _stored(summaries: DataFrame, table: PublishedDays, max_records: int, max_bytes: int | None = None) -> Days:
+    """Store ``summaries`` as a version; gives the days that the table then has. Days of a table without a list are stored with it, once."""
     rows = with_known_dates(conform(summaries, SUMMARY_SCHEMA))
+    days, unlisted = table.current(), table.unlisted()
+    if days is None and unlisted:
+        fresh = rows.select(F.col("chat_date").alias("day")).distinct()
+        others = _of_folders(rows.sparkSession, table, unlisted)
+        rows = rows.unionByName(others.join(fresh, F.col("chat_date").eqNullSafe(F.col("day")), "left_anti"))
     if max_bytes is None:
         dealt = rows.hint("rebalance", "chat_date")
     else:
         numbered, files = in_files(rows, max_bytes)
         dealt = numbered.repartitionById(max(files, 1), F.col("file")).drop("file")
-    (
-        dealt.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records)
-        .partitionBy("chat_date")
-        .parquet(path)
-    )
+    version, folder = table.new_version()
+    dealt.write.option("maxRecordsPerFile", max_records).partitionBy("chat_date").parquet(folder)
+    return (days or {}) | table.written(version)
 
 
 def newest_per_key(staged: DataFrame) -> DataFrame:
@@ -112,7 +123,7 @@ def merge_summaries(
 
     ``replaced`` (chat_id, chat_date) names further rows that go. Only the touched dates are read and rewritten: their
     range prunes partitions, a join picks the dates in it. ``staged`` and ``replaced`` should be stored
-    tables, since they are read several times. One writer at a time.
+    tables, since they are read several times. All days change at once: a merge that fails midway leaves the table as it was. One writer at a time.
     """
     staged = with_known_dates(staged)
     keys = staged.select(*KEYS)
@@ -125,27 +136,20 @@ def merge_summaries(
     target = read_summaries(spark, path).filter(in_range)
     touched = target.join(days, date.eqNullSafe(F.col("day")), "left_semi")
     result = merged(touched, staged, keys)
-    emptied = [] if replaced is None else _emptied_days(touched, result)
-    write_summaries(result, path)
-    _drop_days(spark, path, emptied)
+    emptied = set() if replaced is None else _emptied_days(touched, result)
+    days = PublishedDays(spark, path)
+    stored = _stored(result, days, MAX_RECORDS_PER_FILE)
+    days.publish({day: version for day, version in stored.items() if day not in emptied})
 
 
-def _emptied_days(before: DataFrame, after: DataFrame) -> list[str | None]:
-    """Days that lose all their rows: a number of partitions, not of rows."""
+def _emptied_days(before: DataFrame, after: DataFrame) -> set[str]:
+    """Folders of the days that lose all their rows: a number of partitions, not of rows."""
     left = after.select(F.col("chat_date").alias("day")).distinct()
     gone = before.select("chat_date").distinct().join(left, F.col("chat_date").eqNullSafe(F.col("day")), "left_anti")
-    return [r.chat_date for r in gone.collect()]
-
-
-def _drop_days(spark: SparkSession, path: str, days: list[str | None]) -> None:
-    """Take out the folders of days without rows, which a dynamic overwrite leaves as they are."""
-    jvm = spark.sparkContext._jvm
-    for day in days:
-        name = "__HIVE_DEFAULT_PARTITION__" if day is None else (
-            jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(day)
-        )
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/chat_date={name}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    escaped = before.sparkSession.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return {
+        "chat_date=" + ("__HIVE_DEFAULT_PARTITION__" if r.chat_date is None else escaped(r.chat_date)) for r in gone.collect()
+    }
 
 
 def summary_sample(summaries: DataFrame, n: int = 5) -> DataFrame:
