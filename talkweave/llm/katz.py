@@ -165,9 +165,19 @@ def _counts(answers: list[bytes] | None, cuts: np.ndarray) -> tuple[np.ndarray,
 
 
 def _order(answers: DataFrame) -> Order:
-    """The sum of what the buckets say, one row each."""
-    said = [np.frombuffer(r.answer, np.int64) for r in answers.where("chunk = -1").collect()]
-    total = np.sum(said, axis=0) if said else np.zeros(CUT + 3, np.int64)
+    """The sum of what the buckets say, added up by tasks: the driver gets CUT + 3 numbers, however many buckets there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = np.zeros(CUT + 3, np.int64)
+        for batch in batches:
+            for said in batch.column(0).to_pylist():
+                part += np.frombuffer(said, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(part))), pa.array(part)], ["at", "n"])
+
+    parts = arrays.map_batches(answers.where("chunk = -1").select("answer"), run, "at long, n long")
+    total = np.zeros(CUT + 3, np.int64)
+    for r in parts.groupBy("at").sum("n").collect():
+        total[r[0]] = r[1]
     return Order(int(total[0]), int(total[1]), total[2:])
 
 
