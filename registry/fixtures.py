@@ -33,6 +33,8 @@ RESPONSE_SUFFIX = {
     5: " Signed, Mr John",
     6: " We moved to 12 Oak Street",
 }
+# rule -> share of rows that may break it in the quality loop
+ALLOWED = {"keywords_3_to_8": 1.0, "language_domain": 0.2, "acronym_count": 0.5}
 # doc_id % 16 -> text after a document
 DOCUMENT_SUFFIX = {
     0: " Mail ann.lee+x@mail.example.com, bob@corp.co.uk or x@y.company today.",

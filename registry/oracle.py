@@ -465,6 +465,28 @@ def dq_rules() -> dict[str, str]:
     }
 
 
+def loop_run(k: int, max_tries: int) -> str:
+    """Run k of the quality loop over table t{k}: what breaks which rule, whose chats are done over, and the table after it."""
+    rules_of_row = dq_rules() | {"failed": f"({STATUS}) IN ('ERROR', 'CONTENT_FILTERED')"}
+    names = ", ".join(f"CASE WHEN {broken} THEN '{name}' END" for name, broken in rules_of_row.items())
+    limits = ", ".join(f"('{n}', {float(fx.ALLOWED.get(n, 0.0))}::DOUBLE)" for n in [*rules_of_row, "unique_key"])
+    tries = " + ".join([f"(chat_id IN (SELECT chat_id FROM chosen{i} WHERE retried))::INT" for i in range(1, k)] or ["0"])
+    return f""",
+broken{k} AS (
+  SELECT chat_id, rule, count(*) AS n FROM (SELECT chat_id, unnest([{names}]) AS rule FROM t{k}) WHERE rule IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT chat_id, 'unique_key', count(*) FROM t{k} GROUP BY chat_id, chat_date HAVING count(*) > 1),
+checks{k} AS (
+  SELECT 'check-0000000{k}' AS run, rule, rows_checked, rows_failing, allowed, rows_failing <= allowed * rows_checked AS passed FROM (
+    SELECT rule, allowed, (SELECT count(*) FROM t{k}) AS rows_checked, coalesce(sum(n), 0)::BIGINT AS rows_failing
+    FROM (VALUES {limits}) AS limits(rule, allowed) LEFT JOIN broken{k} USING (rule) GROUP BY ALL)),
+chosen{k} AS (
+  SELECT chat_id, {tries} < {max_tries} AS retried FROM (
+    SELECT DISTINCT chat_id FROM broken{k} WHERE rule IN (SELECT rule FROM checks{k} WHERE NOT passed))),
+t{k + 1} AS (
+  SELECT * FROM t{k} WHERE chat_id NOT IN (SELECT chat_id FROM chosen{k} WHERE retried)
+  UNION ALL SELECT * FROM redone WHERE chat_id IN (SELECT chat_id FROM chosen{k} WHERE retried))"""
+
+
 def w(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -480,6 +502,9 @@ def oracle_sql() -> dict[str, str]:
     turn_columns = (
         "chat_id, turn_id, turn_rank, question, response, chat_date, question_raw, response_raw"
     )
+    loop = w(SUMMARIES, FACTS, HITS, LANGUAGES, MODEL) + f""", redone AS ({BY_MODEL}),
+        t1 AS (SELECT {columns} FROM summaries UNION ALL SELECT {columns} FROM summaries WHERE right(chat_id, 1) = '5')
+        """ + "".join(loop_run(k, 2) for k in (1, 2, 3))
     found = {
         "scan_turns": turn + f"SELECT {turn_columns} FROM turns",
         "pair_messages": w(PAIRS) + "SELECT * FROM pairs",
@@ -507,6 +532,13 @@ def oracle_sql() -> dict[str, str]:
               count(*) FILTER (WHERE outcome = 'FILTERED') AS filtered, count(*) FILTER (WHERE outcome = 'SKIPPED') AS skipped,
               0::BIGINT AS retried, true AS has_files_time_and_path
             FROM taken GROUP BY run""",
+        "quality_loop": loop + " UNION ALL ".join(f"SELECT * FROM checks{k}" for k in (1, 2, 3)),
+        "quality_runs": loop + " UNION ALL ".join(
+            f"""SELECT 'check-0000000{k}' AS run, (SELECT count(*) FILTER (WHERE NOT passed) FROM checks{k}) AS rules_over,
+              (SELECT sum(rows_failing)::BIGINT FROM checks{k}) AS rows_failing,
+              count(*) FILTER (WHERE retried) AS chats_retried, count(*) FILTER (WHERE NOT retried) AS chats_given_up FROM chosen{k}"""
+            for k in (1, 2, 3)
+        ),
         "acronym_dim": """
             SELECT DISTINCT acronym_shrt FROM (
               SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS acronym_shrt FROM conversations)

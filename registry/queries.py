@@ -11,7 +11,7 @@ from talkweave import rules
 from talkweave.functions import language as lang
 from talkweave.functions import redact, response, text
 from talkweave.operators import chats, language, model, offline
-from talkweave.plans import chat_summary, quality, reports, run
+from talkweave.plans import chat_summary, quality, quality_loop as loop, reports, run
 from talkweave.schema import SUMMARY_SCHEMA, TURN_SCHEMA, conform
 from talkweave.sources import acronyms, summaries as table
 from talkweave.sources import turns as source
@@ -175,6 +175,31 @@ def run_results(spark, sf):
     return results.select("run", "completed", "errors", "filtered", "skipped", "retried", present.alias("has_files_time_and_path"))
 
 
+@cache
+def looped(application, spark, sf):
+    """The history of a table with every defect, some rows twice, whose failing chats the model summarises again."""
+    out = new_path(spark, "table")
+    rows = fx.summaries(spark, sf)
+    table.write_summaries(rows.union(rows.filter(F.col("chat_id").endswith("5"))), out)
+    turns, known, words = materialise(conform(fx.turns(spark, sf), TURN_SCHEMA), "turns"), profiles(spark, sf), fx.acronyms(spark)
+
+    def redo(again: DataFrame) -> DataFrame:
+        touched = materialise(turns.join(again, "chat_id", "left_semi"), "again")
+        return chat_summary.chat_summary_by_model(touched, words, known, fx.stub_client, FAST, RUN_TS)
+
+    return loop.quality_loop(spark, out, redo, loop.Limits(fx.ALLOWED, max_tries=2))
+
+
+def quality_loop(spark, sf):
+    """What every run of the loop found by rule."""
+    return looped(spark.sparkContext.applicationId, spark, sf).checks().select("run", "rule", "rows_checked", "rows_failing", "allowed", "passed")
+
+
+def quality_runs(spark, sf):
+    """What every run of the loop did about it."""
+    return looped(spark.sparkContext.applicationId, spark, sf).runs().select("run", "rules_over", "rows_failing", "chats_retried", "chats_given_up")
+
+
 def acronym_dim(spark, sf):
     """The words of the conversations that look like acronyms, by way of a Latin-1 CSV."""
     words = fx.load(spark, sf, "conversations").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("acronym_shrt"))
@@ -409,6 +434,8 @@ def queries() -> dict[str, Query]:
         "incremental_keywords": incremental_keywords,
         "limited_runs": limited_runs,
         "run_results": run_results,
+        "quality_loop": quality_loop,
+        "quality_runs": quality_runs,
         "acronym_dim": acronym_dim,
         "drop_null_chat": drop_null_chat,
         "first_file_wins": first_file_wins,

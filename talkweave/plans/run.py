@@ -81,7 +81,7 @@ def run_pipeline(
     staged = materialise(rows.observe(written, *written_metrics(status)), "staged")
 
     before = materialise(table.table_files(spark, summary_table), "files")
-    table.merge_summaries(spark, summary_table, staged, _rows_of(staged, known))
+    table.merge_summaries(spark, summary_table, staged, rows_of(staged, known))
     files = table.table_files(spark, summary_table).join(before, "path", "left_anti").count()
     book.record(run, taken, staged.select("chat_id", status.alias("status")))
     seen = taken.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("tries") > 0).alias("retried")).first()
@@ -93,6 +93,6 @@ def run_pipeline(
     return book.finish(run, spark.createDataFrame(result, ledger.RESULT.removesuffix(", run string")))
 
 
-def _rows_of(staged: DataFrame, known: DataFrame) -> DataFrame:
+def rows_of(staged: DataFrame, known: DataFrame) -> DataFrame:
     """Keys of the rows that the table has of the staged chats, on whatever day."""
     return materialise(known.select("chat_id", "chat_date").join(staged.select("chat_id"), "chat_id", "left_semi"), "earlier")

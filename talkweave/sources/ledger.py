@@ -23,7 +23,7 @@ SKIPPED = "SKIPPED"
 UNSUCCESSFUL = ["FILTERED", "FAILED"]
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as failure:
@@ -32,7 +32,7 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _replace(rows: DataFrame, path: str, run: str) -> None:
+def replace_run(rows: DataFrame, path: str, run: str) -> None:
     """The partition of one run; recording a run twice leaves one copy."""
     (
         rows.withColumn("run", F.lit(run)).write.mode("overwrite")
@@ -66,11 +66,11 @@ class Ledger:
     path: str
 
     def outcomes(self) -> DataFrame:
-        return _read(self.spark, f"{self.path}/outcomes", OUTCOME)
+        return read_or_empty(self.spark, f"{self.path}/outcomes", OUTCOME)
 
     def runs(self) -> DataFrame:
         """The results of all finished runs."""
-        return _read(self.spark, f"{self.path}/runs", RESULT)
+        return read_or_empty(self.spark, f"{self.path}/runs", RESULT)
 
     def journal(self, run: str) -> str:
         return f"{self.path}/journal/{run}"
@@ -99,9 +99,9 @@ class Ledger:
         for name, value in BY_STATUS.items():
             outcome = F.when(F.col("status") == name, value).otherwise(outcome)
         rows = taken.join(status, "chat_id", "left").select("chat_id", outcome.alias("outcome"), "total_turns")
-        _replace(rows, f"{self.path}/outcomes", run)
+        replace_run(rows, f"{self.path}/outcomes", run)
 
     def finish(self, run: str, result: DataFrame) -> DataFrame:
         """Add the run's result, after which the run is over; gives it back."""
-        _replace(result, f"{self.path}/runs", run)
+        replace_run(result, f"{self.path}/runs", run)
         return result.withColumn("run", F.lit(run))
