@@ -7,6 +7,7 @@ the window's logit. A document's score is logistic in its highest window logits.
 over all windows, training goes on with the windows that score highest.
 """
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -338,21 +339,34 @@ def held_out(doc_id, folds: int = 5):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Network | None:
-    """A network trained on a bounded sample: of each class the ``documents_per_class`` ids that are first by hash and not held out,
-    as far as their texts have at most ``longest`` characters; of an id's texts the smallest. None without a labelled text of each class."""
-    marked = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+def sample(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> DataFrame:
+    """(id, text, toxic) of a bounded training sample: of each class the ``documents_per_class`` ids that are first by hash and not held out,
+    as far as their texts have at most ``longest`` characters; of an id's texts the smallest."""
+    marked = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marked = marked.where(~held_out(F.col("doc_id")))
     by_hash = [
         marked.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.documents_per_class) for c in (0, 1)
     ]
     texts = docs.select(F.col("doc_id").alias("id"), "text").where(F.length("text") <= how.longest)
     rows = texts.join(F.broadcast(by_hash[0].union(by_hash[1])), F.col("id") == F.col("doc_id"))
-    rows = rows.groupBy("id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).collect()
-    rows.sort(key=lambda r: (r.id, r.text))
-    if len({r.toxic for r in rows}) < 2:
-        return None
-    return train([r.text for r in rows], [r.toxic for r in rows], how)
+    return rows.groupBy("id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Network | None:
+    """A network trained on ``sample``; None without a labelled text of each class.
+
+    One task trains, which the sample's bounds allow, and hands the network to the driver, whose memory the texts never touch.
+    The texts are sorted first, so a task that is run again trains the same network.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        if len({toxic for _, _, toxic in rows}) == 2:
+            network = train([text for _, text, _ in rows], [toxic for _, _, toxic in rows], how)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], ["network"])
+
+    found = arrays.map_batches(sample(docs, labels, how).repartition(1), run, "network binary").first()
+    return pickle.loads(found.network) if found else None
 
 
 def _scores(network: Network | None, batch: pa.RecordBatch, text_at: int) -> np.ndarray:

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from talkweave.llm import arrays, queries, toxicity
 
@@ -110,14 +111,39 @@ def test_messy(spark, messy, nothing, network):
     assert kept.columns == messy.columns and kept.count() == sum(s < 0.5 for s in [r.score for r in scored.collect()])
 
 
-def test_repeated_documents_are_one_text(spark, monkeypatch):
-    """What reaches the driver is bounded by the ids, however often a labelled document is repeated."""
+def test_repeated_documents_are_one_text(spark):
+    """What is trained on is bounded by the ids, however often a labelled document is repeated."""
     rows = [(i, f"some words of document {i}", i % 2) for i in range(40)]
     often = next(i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows for _ in range(1 + 500 * (i == often))] + [(often, "other text")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, c) for i, _, c in rows], "doc_id long, toxic int")
-    got = []
-    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, how: got.append((texts, toxic)))
-    toxicity.fit(docs, labels)
-    (texts, toxic), = got
-    assert len(texts) == len(toxic) == len(set(texts)) <= 40 and "other text" in texts
+    got = toxicity.sample(docs, labels).collect()
+    texts = [r.text for r in got]
+    assert len({r.id for r in got}) == len(texts) == len(set(texts)) <= 40 and "other text" in texts
+    assert toxicity.sample(docs, labels, toxicity.Training(documents_per_class=3)).count() == 6
+
+
+def test_task_trains_the_same_network(spark):
+    """The network that a task hands over is the one that its sample gives, in whatever order the rows come."""
+    rows = corpus(60, 4)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    quick = toxicity.Training(rounds=1, least_steps=1)
+    seen = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    alone = toxicity.train([t for _, t, _ in seen], [y for _, _, y in seen], quick)
+    for table in (docs, docs.orderBy(F.desc("doc_id")).repartition(7)):
+        handed = toxicity.fit(table, labels, quick)
+        assert np.array_equal(handed.known, alone.known) and handed.p.keys() == alone.p.keys()
+        assert all(np.allclose(handed.p[k], alone.p[k], atol=1e-5) for k in alone.p) and np.allclose(handed.document, alone.document, atol=1e-4)
+
+
+def test_held_out_quality_on_documents(spark):
+    """At sf0.01 the rows that were not learnt from are told apart by the truth of their labels."""
+    folder = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = [r for r in queries.op3_toxicity(spark, folder).collect() if r.held_out and r.doc_id in truth]
+    toxic, clean = ([r.score for r in held if truth[r.doc_id] == c] for c in (1, 0))
+    assert len(toxic) > 0 and len(clean) > 0
+    above = np.mean([[(t > c) + 0.5 * (t == c) for c in clean] for t in toxic])
+    print("AUC", above, "accuracy", np.mean([r.predicted == truth[r.doc_id] for r in held]))
+    assert above > 0.9 and np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.9
