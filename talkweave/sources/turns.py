@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from talkweave.schema import CHAT_DOCUMENT_SCHEMA, TURN_SCHEMA, conform
+from talkweave.staging import materialise
 
 BLOCK = 4096
 POSITION = ["turn", "role", "text"]
@@ -94,22 +95,21 @@ def pair_messages(messages: DataFrame) -> DataFrame:
     Each user message opens a turn, ranked from 1; the next message answers it if
     it is the assistant's. System messages are ignored; messages at one position follow role and text.
 
-    Runs of turn numbers are paired on their own, so no task holds a long conversation; one row per block then
-    carries what crosses its border: the next block's first message and the number of user messages before it.
-    A block is BLOCK turn numbers wide, wider where a conversation's numbers have gaps, and holds
-    about BLOCK messages of evenly spread ones.
+    Blocks of at most BLOCK consecutive messages are paired on their own, so no task holds a long conversation, however its
+    turn numbers lie; one row per block then carries what crosses its border: the next block's first message and the
+    number of user messages before it. Only messages equal in conversation, turn and role must share a partition before that.
     """
-    said = messages.filter(F.col("conv_id").isNotNull() & (F.col("role") != "system")).select(
-        "conv_id", "turn", "role", "text"
-    )
-    turn = F.col("turn").cast("double")
-    spans = said.groupBy("conv_id").agg(
-        F.min(turn).alias("begin"), (F.max(turn) - F.min(turn) + 1).alias("span"), F.count(F.lit(1)).alias("n")
-    )
-    width = F.greatest(F.col("span") / F.ceil(F.col("n") / BLOCK), F.lit(float(BLOCK)))
-    block = F.coalesce(F.floor((turn - F.col("begin")) / width), F.lit(-1))
-    blocked = said.join(spans, "conv_id").select("conv_id", block.alias("block"), "turn", "role", "text")
-    return _pairs_in_blocks(blocked)
+    return _pairs_in_blocks(in_blocks(messages))
+
+
+def in_blocks(messages: DataFrame) -> DataFrame:
+    """Messages of known conversations with their ``block``: a number that rises in the order of all messages, BLOCK of a partition's each.
+
+    Written once, because both readers of the blocks must see the same borders.
+    """
+    said = messages.filter(F.col("conv_id").isNotNull() & (F.col("role") != "system")).select("conv_id", *POSITION)
+    in_order = said.repartitionByRange("conv_id", "turn", "role").sortWithinPartitions("conv_id", *POSITION)
+    return materialise(in_order.withColumn("block", F.floor(F.monotonically_increasing_id() / BLOCK)), "messages")
 
 
 def _next_message(keys: list[str]) -> Column:

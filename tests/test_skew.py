@@ -37,6 +37,22 @@ def test_large_conversation_in_blocks(spark, monkeypatch, gap):
     assert all(got[1, i + 1] == (f"m{2 * i}", f"m{2 * i + 1}") for i in range(n // 2))
 
 
+def test_clustered_turn_numbers_make_even_blocks(spark, monkeypatch):
+    """One conversation whose turns are times, nearly all of them within seconds, and single ones years apart."""
+    monkeypatch.setattr(source, "BLOCK", 50)
+    n = 6000
+    times = [i * 30_000_000 for i in range(40)] + [1_300_000_000 + i for i in range(n - 80)] + [1_400_000_000 + i * 30_000_000 for i in range(40)]
+    said = spark.createDataFrame(
+        [("c", t, "user" if i % 3 == 0 else "assistant", f"m{i}") for i, t in enumerate(times)], "conv_id string, turn long, role string, text string"
+    ).repartition(16)
+    blocks = source.in_blocks(said)
+    assert blocks.groupBy("block").count().agg(F.max("count")).first()[0] <= 50
+    tasks = [r["count"] for r in blocks.repartition(8, "conv_id", "block").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) == 8 and max(tasks) <= 2 * sorted(tasks)[4]
+    got = sorted((r.turn_rank, r.question, r.response) for r in source.pair_messages(said).collect())
+    assert got == [(k + 1, f"m{3 * k}", f"m{3 * k + 1}") for k in range(n // 3)]
+
+
 def test_order_of_arrival_does_not_matter(spark):
     said = [(1, 0, "user", "q"), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, 2, "user", "r")]
     schema = "conv_id long, turn long, role string, text string"
