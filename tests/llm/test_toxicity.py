@@ -138,12 +138,13 @@ def test_task_trains_the_same_network(spark):
 
 
 def test_held_out_quality_on_documents(spark):
-    """At sf0.01 the rows that were not learnt from are told apart by the truth of their labels."""
-    folder = "/root/testdata/sf0.01"
+    """At sf0.1 the rows that were not learnt from are told apart by the truth of their labels."""
+    folder = "/root/testdata/sf0.1"
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     held = [r for r in queries.op3_toxicity(spark, folder).collect() if r.held_out and r.doc_id in truth]
-    toxic, clean = ([r.score for r in held if truth[r.doc_id] == c] for c in (1, 0))
-    assert len(toxic) > 0 and len(clean) > 0
-    above = np.mean([[(t > c) + 0.5 * (t == c) for c in clean] for t in toxic])
-    print("AUC", above, "accuracy", np.mean([r.predicted == truth[r.doc_id] for r in held]))
-    assert above > 0.9 and np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.9
+    toxic, clean = (np.array([r.score for r in held if truth[r.doc_id] == c]) for c in (1, 0))
+    assert len(toxic) > 20 and len(clean) > 200
+    above = np.mean(toxic[:, None] > clean) + np.mean(toxic[:, None] == clean) / 2
+    accuracy = np.mean([r.predicted == truth[r.doc_id] for r in held])
+    print(f"area under the curve {above:.3f}, accuracy {accuracy:.3f}, recall {np.mean(toxic >= 0.5):.3f}")
+    assert above > 0.95 and accuracy > 0.95 and np.mean(toxic >= 0.5) > 0.85
