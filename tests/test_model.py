@@ -6,6 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from talkweave.operators import model
+from talkweave.staging import ship_package
 
 OPTIONS = model.CallOptions(partitions=2, threads=2, attempts=3, pause=0.0)
 
@@ -72,6 +73,7 @@ import sys
 sys.path.insert(0, sys.argv[1])
 from pyspark.sql import SparkSession
 from talkweave.operators import model
+from talkweave.staging import ship_package
 spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
 texts = spark.createDataFrame([("a", "x")], "chat_id string, safe_text string")
 say = lambda: lambda prompt, **settings: ("end_turn", "SUMMARY: s")
@@ -88,3 +90,11 @@ def test_prompts_are_made_once(spark):
     made = texts.select("chat_id", F.regexp_replace("safe_text", "redaction", "").alias("safe_text"))
     result = model.enrich_with_model(made, logged_client(os.devnull), OPTIONS)
     assert "redaction" not in result._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_package_is_shipped_once_whatever_session_asks(spark):
+    """Each micro-batch has a session of its own; a second archive of the same name is refused on a cluster."""
+    for session in (spark, spark.newSession(), spark.newSession()):
+        ship_package(session)
+    archives = [f for f in spark.sparkContext.listFiles if f.endswith("/talkweave-package.zip")]
+    assert len(archives) == 1
