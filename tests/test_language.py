@@ -1,3 +1,4 @@
+from collections import Counter
 
 from talkweave.functions import language as rule
 from talkweave.operators import language
@@ -100,3 +101,19 @@ def test_score_is_rank_distance(spark):
     )
     found = language.ngram_language(spark.createDataFrame([("ab",), ("zz",), ("ab",)], "x string"), "x", made, "y")
     assert sorted((r.x, r.y) for r in found.collect()) == [("ab", "A"), ("ab", "A"), ("zz", None)]
+
+
+def test_trigrams_are_ranked_by_count_and_name_within_the_row(column_values):
+    texts = ["abab ab", "", "1 2", "é é ée", "aaaa", "Zz zz"]
+    counted = [Counter(t) for t in column_values(rule.trigrams, texts)]
+    want = [sorted(c, key=lambda t: (-c[t], t)) for c in counted]
+    assert column_values(rule.ranked_trigrams, texts) == want
+
+
+def test_no_step_groups_by_a_text_and_its_trigrams(spark):
+    """Rows of text and trigram take hundreds of times the text, in one task."""
+    made = spark.createDataFrame([("French", " ab", 1), ("English", "ab ", 1)], "language string, trigram string, profile_rank int")
+    texts = spark.createDataFrame([("ab",), ("zz ab",)], "x string")
+    plan = language.ngram_language(texts, "x", made, "y")._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("Aggregate [")[1].split("]")[0] for line in plan.splitlines() if "Aggregate [" in line]
+    assert keys and not [k for k in keys if "trigram" in k or "scored_text" in k]
