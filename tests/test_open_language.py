@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+
+from registry import queries
 from talkweave.operators import language
 
 WORDS = {
@@ -71,3 +74,13 @@ def test_limits_hold_what_held_out_texts_reach(spark):
     near = language.closest_language(of(spark, [("en", text)]), "text", profiles).collect()
     assert reached == {(r.language, r.band): (r.share, r.margin) for r in near}
     assert near[0].share == 1000 and near[0].band == 4
+
+
+@pytest.mark.parametrize("query", [queries.lang_open_set, queries.lang_ngram])
+def test_documents_are_cleaned_once(spark, tmp_path, query):
+    """The cleaned text is read by several branches; the expressions that make it run before that."""
+    rows = [(i, "hello there my old friend " * 9, "en" if i % 3 else "es") for i in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = query(spark, str(tmp_path))
+    assert "regexp_replace" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 12
