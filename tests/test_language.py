@@ -1,5 +1,9 @@
+import time
 from collections import Counter
 
+from pyspark.sql import functions as F
+
+from talkweave import rules
 from talkweave.functions import language as rule
 from talkweave.operators import language
 
@@ -43,6 +47,30 @@ def test_trigrams(column_values):
     assert column_values(rule.trigrams, [None]) == [None]
 
 
+def cleaned_whole(column):
+    return F.left(rule._cleaned(F.coalesce(column, F.lit(""))), F.lit(rules.LANGUAGE_CHARS))
+
+
+def test_the_start_of_a_long_text_is_cleaned_as_the_whole_text_is(column_values):
+    first = rule.CLEANED_FIRST
+    words, noise = "word " * 200, "* # ` " * 100
+    texts = [
+        None, "", "x" * 3 * first, words, noise + words, "\n" * first + words, words[: first - 10] + "see a@b.example.com/" + "y" * first + " " + words,
+        "[" + words + "](http://x.org) after", "[[" + words + "]] after " + words, "[open\n" + words + "](x) " + words, "[open\n" * 100 + words,
+        "a " * 90 + "https://x.org/" + "z" * first + " " + words, "Mail ann@example.com " + words, "é漢𝄞 " * 300, "\u3000" + words + "\u2003", "B0ABCD1234 " * 100,
+        words[:-1] + "\x1c" + words, words[: first - 1] + "$5" + words, words[: first - 3] + "AB_CDE " + words,
+    ]
+    assert column_values(rule.lang_clean, texts) == column_values(cleaned_whole, texts)
+
+
+def test_long_texts_are_not_cleaned_whole(column_values):
+    # Tens of millions of steps of the pattern of addresses, were the tail looked at.
+    texts = ["some words of a plain text " * 20 + "@" * 20_000] * 8
+    started = time.monotonic()
+    assert set(column_values(rule.lang_clean, texts)) == {("some words of a plain text " * 20)[:200]}
+    assert time.monotonic() - started < 20
+
+
 CORPUS = [
     ("en", "the quick brown fox jumps over the lazy dog and then the other thing with that there"),
     ("fr", "le petit chat est dans la maison avec les enfants qui sont très contents pour nous"),
@@ -117,3 +145,9 @@ def test_no_step_groups_by_a_text_and_its_trigrams(spark):
     plan = language.ngram_language(texts, "x", made, "y")._jdf.queryExecution().optimizedPlan().toString()
     keys = [line.split("Aggregate [")[1].split("]")[0] for line in plan.splitlines() if "Aggregate [" in line]
     assert keys and not [k for k in keys if "trigram" in k or "scored_text" in k]
+
+
+def test_texts_are_cut_once(spark):
+    distinct = spark.createDataFrame([(1, "el perro grande")], "text_id long, scored_text string")
+    plan = language._language_scores(distinct, profiles(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 3  # the words of a labelled text, the trigrams of a word, those of a scored text
