@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from talkweave.operators import offline
-from talkweave.sources.term_counts import TermCounts
+from talkweave.sources.term_counts import TermCounts, _terms
 from talkweave.staging import new_path
 
 FEATURES = "chat_id string, terms array<string>"
@@ -40,3 +40,10 @@ def test_scores_with_counts_are_those_of_all_chats(spark):
     everything = scored(whole)
     assert scored(whole, counts) == everything
     assert scored(whole.filter(F.col("chat_id") == "b"), counts) == {r for r in everything if r[0] == "b"}
+
+
+def test_texts_are_cut_once(spark):
+    turns = spark.createDataFrame([("a", "t", 1, "what", "the long answer")], "chat_id string, turn_id string, turn_rank int, question string, response string")
+    found = _terms(offline.turn_features(turns.withColumn("chat_date", F.lit("2026-01-01"))), 1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1

@@ -123,3 +123,15 @@ def test_a_pack_that_was_not_committed_is_dropped(spark):
     store.read(store.touched(ids(spark, range(6)))).write.parquet(f"{store.path}/packing/pack-x/depth=1")
     store.recover()
     assert store._names(f"{store.path}/packing") == [] and found(store, range(6)) == expected(("f", range(6)), chats=range(6))
+
+
+def test_turns_of_one_large_file_are_dealt_to_many_tasks(spark):
+    store = TurnStore(spark, new_path(spark, "store"))
+    run_batch(store, range(40), "f", "r", 0)
+    coalesced = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesced, "false")
+    try:
+        for turns in (store.turns_of(ids(spark, range(40)), store.touched(ids(spark, range(40)))), store.everything()):
+            assert turns.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+    finally:
+        spark.conf.unset(coalesced)
