@@ -3,7 +3,9 @@
 A vocabulary file of base64 byte strings and ranks becomes a BPE model: each byte is written as one
 printable character, and every way of building a token from two others is a merge, in order of the token's rank.
 Texts are cut before single spaces between two characters that are not white space, and between a letter and a
-full stop, comma or the like, where the pattern always ends a match, so equal segments are encoded once per worker and a long text never becomes one large Encoding.
+full stop, comma or the like, where the pattern always ends a match, so equal segments are encoded once while a worker keeps them
+and a long text never becomes one large Encoding. Under WORD_PATTERN line breaks and more punctuation are cut too, and plain
+words, each one match, go to the model by themselves, many in one call; all other segments go through the pattern.
 """
 
 import base64
@@ -24,10 +26,17 @@ from talkweave.llm.arrays import map_batches
 #: Segments that a worker keeps; the memory of its cache is bounded by this number.
 KEPT_SEGMENTS = 200_000
 LONGEST_KEPT = 64
+#: Plain words in one call of the model.
+WORDS_AT_ONCE = 500
+#: The pattern under which a run of letters, with the space before it, is one match, and a line break between words another.
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Python's white space holds all of the pattern's, so these cuts are safe for either. After a letter, punctuation
 # other than an apostrophe begins a match of its own.
-_CUT = re.compile(r"(?<=\S)(?= \S)|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?])")
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+_CUT = re.compile(rf"(?<=\S)(?= \S)|(?<={_LETTER})(?=[.,;:!?])")
+_MARK = re.compile(rf"[!-&(-/:-@\[-`{{-~](?<={_LETTER}.)")
+_WORD = re.compile(rf" ?{_LETTER}+")
 
 
 def byte_characters() -> dict[int, str]:
@@ -46,7 +55,11 @@ class Codec:
         self.ranks, self.pattern = ranks, pattern
         self.spelled = {t: "".join(chars[b] for b in t) for t in ranks}
         self.pieces = {i: bytes(back[c] for c in self.spelled[t]) for t, i in ranks.items()}
+        self.by_words = pattern == WORD_PATTERN and b"\n" in ranks
+        self.shown = np.array([ord(chars[b]) for b in range(256)], "<u2")
+        # Segments move from ``older`` to ``kept`` when they are met again; what is not met in time is forgotten.
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @cached_property
     def tokenizer(self) -> Tokenizer:
@@ -58,7 +71,7 @@ class Codec:
             for k in range(1, len(t))
             if t[:k] in ranks and t[k:] in ranks
         ]
-        model = models.BPE(vocab={spelled[t]: i for t, i in ranks.items()}, merges=merges, ignore_merges=True)
+        model = models.BPE(vocab={spelled[t]: i for t, i in ranks.items()}, merges=merges, ignore_merges=True, cache_capacity=0)
         made = Tokenizer(model)
         made.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(Regex(self.pattern), "isolated"),
@@ -66,25 +79,65 @@ class Codec:
         ])
         return made
 
+    @cached_property
+    def word_tokenizer(self) -> Tokenizer:
+        """The same model for words already written in its characters, one a line."""
+        made = Tokenizer(self.tokenizer.model)
+        made.pre_tokenizer = pre_tokenizers.Split(self.spelled[b"\n"], "isolated")
+        return made
+
+    @cached_property
+    def piece_column(self) -> pa.Array:
+        """The piece of each id, null where the vocabulary has none."""
+        return pa.array([self.pieces.get(i) for i in range(max(self.pieces, default=-1) + 1)], pa.large_binary())
+
     def segments(self, text: str) -> list[str]:
+        if self.by_words:
+            flat = text.replace("\n", " ")
+            if " ".join(flat.split()) == flat:
+                # All white space is single and between words.
+                return _MARK.sub(r"\r\g<0>", text.replace(" ", "\r ").replace("\n", "\r\n\r")).split("\r")
         return _CUT.split(text)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.segments(t) for t in texts]
+        if len(self.kept) > KEPT_SEGMENTS // 2:
+            self.older, self.kept = self.kept, {}
         known = self.kept
-        if len(known) > KEPT_SEGMENTS:
-            known.clear()
-        new = list({s for parts in cut for s in parts if s not in known})
-        own: dict[str, bytes] = {}
-        for lo in range(0, len(new), 5000):
-            part = new[lo:lo + 5000]
-            for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                (known if len(s) <= LONGEST_KEPT else own)[s] = np.array(e.ids, "<u4").tobytes()
+        own = self._learn(set().union(*cut))
         if own:
-            return [b"".join([known.get(s) or own.get(s, b"") for s in parts]) for parts in cut]
+            return [b"".join([known[s] if s in known else own[s] for s in parts]) for parts in cut]
         return [b"".join(map(known.__getitem__, parts)) for parts in cut]
 
+    def _learn(self, segments: set[str]) -> dict[str, bytes]:
+        """Keeps the ids of all segments; returns those of segments too long to be kept."""
+        new = segments.difference(self.kept)
+        again = new.intersection(self.older)
+        self.kept.update(zip(again, map(self.older.__getitem__, again)))
+        new -= again
+        plain = list(filter(_WORD.fullmatch, new)) if self.by_words else []
+        other = list(new.difference(plain))
+        found: dict[str, bytes] = {}
+        for lo in range(0, len(plain), WORDS_AT_ONCE):
+            part = plain[lo:lo + WORDS_AT_ONCE]
+            found.update(zip(part, self._encode_words(part), strict=True))
+        for lo in range(0, len(other), 5000):
+            part = other[lo:lo + 5000]
+            for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                found[s] = np.array(e.ids, "<u4").tobytes()
+        own = {s: found.pop(s) for s in [s for s in found if len(s) > LONGEST_KEPT]}
+        self.kept.update(found)
+        return own
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are one match each; the id of a line break, which no word holds, parts them."""
+        spelled = self.shown[np.frombuffer("\n".join(words).encode(), np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(self.word_tokenizer.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+        breaks = np.flatnonzero(ids == self.ranks[b"\n"])
+        packed, starts, ends = ids.tobytes(), [0, *(4 * breaks + 4).tolist()], [*(4 * breaks).tolist(), 4 * len(ids)]
+        return [packed[a:b] for a, b in zip(starts, ends)]
+
     def encode_offsets(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids and the characters each one covers; ids that split a character cover all of it."""
         ids, spans, at = [], [], 0
@@ -99,6 +152,19 @@ class Codec:
         """The exact bytes; an id outside the vocabulary raises KeyError."""
         return b"".join(map(self.pieces.__getitem__, ids))
 
+    def decode_all(self, packed: list[bytes]) -> pa.Array:
+        """The exact bytes of each text's packed ids, as a binary column; an id outside the vocabulary raises KeyError."""
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        if len(ids) and ids.max() >= len(self.piece_column):
+            raise KeyError(int(ids.max()))
+        taken = self.piece_column.take(pa.array(ids))
+        if taken.null_count:
+            raise KeyError(int(ids[taken.is_null().to_numpy(zero_copy_only=False)][0]))
+        bounds = np.cumsum([0, *[len(p) // 4 for p in packed]])
+        at = np.frombuffer(taken.buffers()[1], np.int64)[bounds] if len(ids) else bounds
+        whole = pa.Array.from_buffers(pa.large_binary(), len(packed), [None, pa.py_buffer(at), taken.buffers()[2] or pa.py_buffer(b"")])
+        return whole.cast(pa.binary())
+
     def decode(self, ids) -> str:
         """The text; characters that the ids begin or end in the middle of become U+FFFD."""
         return self.decode_bytes(ids).decode("utf-8", "replace")
@@ -158,7 +224,7 @@ def encode(
                 if offsets:
                     extra += [pa.array([[s[k] for s in spans] for _, spans in found], pa.list_(pa.int32())) for k in (0, 1)]
                 if decoded:
-                    extra.append(pa.array([own.decode_bytes(np.frombuffer(i, "<u4").tolist()) for i in ids], pa.binary()))
+                    extra.append(own.decode_all(ids))
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *new])
 
     number = ArrayType(IntegerType())

@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers as public
 import pytest
 import tiktoken
+from tokenizers import Tokenizer
 
 from talkweave.llm import byte_bpe, queries
 
@@ -73,3 +74,68 @@ def test_messy(spark, messy, nothing):
     for r in decoded:
         assert bytes(r.decoded).decode() == (r.text or "") and r.Key == "c"
         assert r.text or r.ids == []
+
+
+def test_words_are_encoded_together_and_frequent_ones_once(codec, reference, monkeypatch):
+    given = []
+
+    class Counted:
+        def __init__(self, model):
+            self.__dict__["inner"] = Tokenizer(model)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.inner, name, value)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(byte_bpe, "Tokenizer", Counted)
+    monkeypatch.setattr(byte_bpe, "KEPT_SEGMENTS", 100)
+    random.seed(4)
+    own = byte_bpe.Codec(codec.ranks, public.PATTERN)
+    for _ in range(8):
+        new = ["".join(random.choices("aeioklmé", k=12)) for _ in range(80)]
+        text = "oft " + " ".join(f"often {w}" for w in new)
+        assert np.frombuffer(own.encode_all([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
+        assert len(own.kept) + len(own.older) < 300
+    assert sum(t.replace("Ġ", " ").split("Ċ").count(" often") for t in given) == 1
+    assert len(given) < 100
+
+
+def test_lines_of_words(codec, reference):
+    random.seed(5)
+    words = ["the", "naïve", "Straße", "it's", "'s", "x's", "a.b,c", "end.", "end...", "50%", "(odd)", "-", "'", "日本", "é!", "$$$", "ª", "_", "x" * 70, "é" * 70, "x" * 70 + ","]
+    texts = ["".join(random.choice(words) + random.choice(gaps) for _ in range(random.randint(0, 40))) + "end"
+             for gaps in ([" "], [" ", "\n"], [" ", " ", "\n", "\n\n", "\r", "\r\n", "\x1c", "\xa0", "  "]) for _ in range(400)]
+    texts += ["", " ", "\n", "\r", "a\rb", "a \n b", "a\n", "\na", " a"]
+    packed = codec.encode_all(texts)
+    for text, ids in zip(texts, packed):
+        assert "".join(codec.segments(text)) == text
+        assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+    assert codec.decode_all(packed).to_pylist() == [t.encode() for t in texts]
+    assert codec.decode_all([]).to_pylist() == [] and codec.decode_all([b"", b""]).to_pylist() == [b"", b""]
+
+
+def test_unknown_ids_and_gaps_raise(codec):
+    gap = byte_bpe.Codec({t: i for t, i in codec.ranks.items() if i != 300}, public.PATTERN)
+    for own, ids in ((codec, [5, 10**7]), (codec, [2**32 - 1]), (gap, [5, 300])):
+        with pytest.raises(KeyError):
+            own.decode_all([b"", np.array(ids, "<u4").tobytes()])
+
+
+def test_vocabulary_without_line_break(codec):
+    own = byte_bpe.Codec({t: i for t, i in codec.ranks.items() if t != b"\n"}, public.PATTERN)
+    assert own.encode_all(["some words, and more"]) == codec.encode_all(["some words, and more"])
+
+
+def test_other_patterns(codec):
+    camel = r"""[^\r\n\p{L}\p{N}]?\p{Lu}*\p{Ll}+|[^\r\n\p{L}\p{N}]?\p{Lu}+\p{Ll}*|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"""
+    own = byte_bpe.Codec(codec.ranks, camel)
+    known = tiktoken.Encoding("camel", pat_str=camel, mergeable_ranks=codec.ranks, special_tokens={})
+    texts = ["someWords inCamelCase, and BIGWords", "a line!\nand (another)\nend.", "wordsTogether"]
+    assert [np.frombuffer(i, "<u4").tolist() for i in own.encode_all(texts)] == [known.encode_ordinary(t) for t in texts]
+    assert byte_bpe.WORD_PATTERN == public.PATTERN
