@@ -182,6 +182,8 @@ def links(fps: DataFrame, radius: int = 4, partitions: int = 3) -> DataFrame:
     ``partitions`` trades probes against candidates (fewer suit larger tables); the result is the same.
     A value that very many fingerprints share in one partition raises its estimate, so they
     put their thresholds elsewhere; what is left of its skew, the join's skew splitting deals out.
+    Spark sizes the index and the probes by the fingerprints they are made from, of which each makes very many rows, so
+    it would broadcast them through the driver; the hint has them shuffled at any size.
     """
     if not 1 <= partitions <= radius + 1:
         raise ValueError("partitions must be between 1 and radius + 1")
@@ -189,7 +191,7 @@ def links(fps: DataFrame, radius: int = 4, partitions: int = 3) -> DataFrame:
     index = map_batches(fps.select("fp"), _index(at), "key long, fp long").toDF("key", "a")
     probes = map_batches(fps.select("fp"), _probe(at), "key long, fp long").toDF("key", "b")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return index.join(probes, (index.key == probes.key) & (F.col("a") < F.col("b")) & (apart <= radius)).select("a", "b")
+    return index.join(probes.hint("merge"), (index.key == probes.key) & (F.col("a") < F.col("b")) & (apart <= radius)).select("a", "b")
 
 
 def classes(nodes: DataFrame, radius: int, partitions: int) -> DataFrame:
@@ -228,9 +230,9 @@ def keep_one(docs: DataFrame, size: int = 4, radius: int = 4, partitions: int =
     marked = simhash(texts, size, "row").withColumnRenamed("doc_id", "row")
     ids = rows.select("row", F.col("doc.doc_id").alias("id"))
     place = F.struct(F.col("id").isNull(), "id", "row")
-    marked = materialise(marked.join(ids, "row").select("fp", "row", place.alias("place")), "fingerprints")
+    marked = materialise(marked.join(ids.hint("merge"), "row").select("fp", "row", place.alias("place")), "fingerprints")
     nodes = materialise(marked.groupBy("fp").agg(F.min("place").alias("first")), "nodes")
-    labelled = classes(nodes, radius, partitions).join(nodes, "fp")
+    labelled = classes(nodes, radius, partitions).join(nodes.hint("merge"), "fp")
     kept = labelled.groupBy("label").agg(F.min("first").alias("first")).select("first.row")
     dropped = materialise(marked.select("row").join(kept, "row", "left_anti"), "dropped")
     return rows.join(dropped, "row", "left_anti").select("doc.*")

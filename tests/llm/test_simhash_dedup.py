@@ -5,6 +5,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from talkweave.llm import components, queries, simhash_dedup
+from talkweave.staging import materialise
 
 
 def fingerprint(text, size=4):
@@ -52,6 +53,32 @@ def test_links_of_dense_groups_and_all_partitions(spark):
         assert got == want
 
 
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_probes_are_shuffled_however_small_their_fingerprints(spark):
+    """Spark takes the probes, of which a fingerprint makes hundreds, for a table as small as the fingerprints."""
+    fps = materialise(spark.createDataFrame([(i * 0x9E3779B97F4A7C1 % (1 << 62),) for i in range(500)], "fp long"), "fps")
+    found = plan(simhash_dedup.links(fps))
+    assert "SortMergeJoin" in found and "Broadcast" not in found
+
+
+def test_keep_one_broadcasts_no_table_of_all_rows(spark, messy, monkeypatch):
+    """Rows that compress well (null ids, few texts) make files that Spark takes for small tables."""
+    plans = {}
+
+    def kept(frame, name):
+        plans.setdefault(name, plan(frame))
+        return materialise(frame, name)
+
+    docs = materialise(messy, "docs")
+    monkeypatch.setattr(simhash_dedup, "materialise", kept)
+    simhash_dedup.keep_one(docs)
+    assert "SortMergeJoin [row#" in plans["fingerprints"] and "Broadcast" not in plans["fingerprints"]
+    assert "SortMergeJoin [fp#" in plans["dropped"] and "BroadcastHashJoin [fp#" not in plans["dropped"]
+
+
 def test_thresholds_sum_and_cost(spark):
     frame = spark.createDataFrame([(int(x),) for x in np.random.default_rng(1).integers(0, 1 << 62, 300)], "fp long")
     at = simhash_dedup.layout(frame, 3, 4)
