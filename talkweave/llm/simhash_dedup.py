@@ -212,10 +212,10 @@ def near_duplicates(
     """
     marked = materialise(simhash(docs, size, id_col, text_col), "fingerprints")
     nodes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    labelled = classes(nodes, radius, partitions).join(nodes, "fp")
+    labelled = classes(nodes, radius, partitions).join(nodes.hint("merge"), "fp")
     first = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     class_of = labelled.join(first, "label").select("fp", "component_id")
-    return marked.join(class_of, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(class_of.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, size: int = 4, radius: int = 4, partitions: int = 3) -> DataFrame:

@@ -79,6 +79,11 @@ def test_keep_one_broadcasts_no_table_of_all_rows(spark, messy, monkeypatch):
     assert "SortMergeJoin [fp#" in plans["dropped"] and "BroadcastHashJoin [fp#" not in plans["dropped"]
 
 
+def test_near_duplicates_broadcasts_no_table_of_all_rows(spark, messy):
+    found = plan(simhash_dedup.near_duplicates(materialise(messy, "docs")))
+    assert "SortMergeJoin [fp#" in found and "BroadcastHashJoin [fp#" not in found
+
+
 def test_thresholds_sum_and_cost(spark):
     frame = spark.createDataFrame([(int(x),) for x in np.random.default_rng(1).integers(0, 1 << 62, 300)], "fp long")
     at = simhash_dedup.layout(frame, 3, 4)
